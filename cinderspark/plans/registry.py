@@ -1,0 +1,6 @@
+"""Every query of the library by name, and its SQL."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict = {}

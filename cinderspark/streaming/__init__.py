@@ -1,0 +1 @@
+"""cinderspark.streaming"""
