@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import line_dedup
+from cinderspark.llm import bpe, line_dedup
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_bpe": bpe.op4_bpe,
 }
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
