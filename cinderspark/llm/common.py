@@ -78,3 +78,8 @@ class Out:
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fold(doc_id: str, n: int):
+    """crc32 of the id's decimal text, mod ``n``; -1 for a null id, which so belongs to no fold."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % n, F.lit(-1))
