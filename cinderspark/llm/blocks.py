@@ -11,6 +11,8 @@ Rows: ``key int`` (where to), ``block long``, ``bucket int`` (-1: the frame), ``
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -26,7 +28,7 @@ from cinderspark.llm.common import partitions, rows
 SCHEMA = pa.schema([("key", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 DDL = "key int, block long, bucket int, data binary"
 #: Characters of text that close a block.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 24_000_000
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -72,6 +74,13 @@ class Words(defaultdict):
         return n
 
 
+def trim() -> None:
+    """Give what a block has used back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def bucket_of(word: bytes, n: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % n
 
@@ -110,6 +119,7 @@ def to_blocks(docs: DataFrame, split: Callable[[str], list], extra: Callable[[in
                 data = pack_words([listed[i] for i in part.tolist()]) + (pack(learnt[part]) if extra else b"")
                 out.append((int(to[part[0]]), block, int(to[part[0]]), data))
             words, ids, sizes, marks, numbers, chars = Words(), [], [], [], [], 0
+            trim()
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), SCHEMA, strict=True)], schema=SCHEMA)
 
         for doc_id, text in rows(batches, "doc_id", "text"):
@@ -133,8 +143,8 @@ def in_buckets(blocks: DataFrame, answer: Callable[[], Callable[[bytes], bytes]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64).to_pydict()
+            for at in range(0, batch.num_rows, 16):
+                part = batch.slice(at, 16).to_pydict()
                 if of is None and any(b >= 0 for b in part["bucket"]):
                     of = answer()
                 part["data"] = [x if b < 0 else of(x) for b, x in zip(part["bucket"], part["data"], strict=True)]
@@ -159,12 +169,14 @@ def out_of_blocks(answered: DataFrame, finish: Callable[[Frame], Iterator[pa.Rec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frame = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 16):
+                part = batch.slice(at, 16)
                 for bucket, data in zip(part.column("bucket").to_pylist(), part.column("data").to_pylist(), strict=True):
                     if bucket < 0:
                         if frame is not None:
                             yield from finish(frame)
+                            frame = None
+                            trim()
                         frame = Frame(data)
                     else:
                         frame.answers.append(data)

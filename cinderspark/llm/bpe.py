@@ -19,7 +19,7 @@ from cinderspark.llm.common import docs_of
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 #: Token ids that are put together at a time.
-STEP = 1_000_000
+STEP = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -28,8 +28,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids array<int>``: the BPE ids of each whole text, without special tokens.
+def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """``doc_id, ids array<int>``: the BPE ids of each whole text, without special tokens; with ``decode``, also their bytes.
 
     Texts are split by ``pattern`` where they are; a block of documents becomes token numbers and its distinct words. The
     words are shuffled by hash, so that each distinct word is encoded once in a task that holds all its blocks' rows; the
@@ -59,7 +59,15 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
 
     find = regex.compile(pattern)
     blocks = to_blocks(docs_of(docs, id_col, text_col), lambda text: find.findall(text))
-    return out_of_blocks(in_buckets(blocks, answer), _place, "doc_id long, ids array<int>")
+    if not decode:
+        return out_of_blocks(in_buckets(blocks, answer), _place, "doc_id long, ids array<int>")
+
+    def both(frame: Frame) -> Iterator[pa.RecordBatch]:
+        tokens = token_bytes(table.value)
+        for part in _place(frame):
+            yield pa.RecordBatch.from_arrays([*part.columns, decoded(part.column(1), tokens)], names=["doc_id", "ids", "decoded"])
+
+    return out_of_blocks(in_buckets(blocks, answer), both, "doc_id long, ids array<int>, decoded binary")
 
 
 def _place(frame: Frame) -> Iterator[pa.RecordBatch]:
@@ -86,26 +94,37 @@ def _place(frame: Frame) -> Iterator[pa.RecordBatch]:
         at = to
 
 
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """The token-byte table in order of id."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decoded(lists: pa.ListArray, tokens: list[bytes]) -> pa.Array:
+    """The token-byte table joined to each list of ids, by id, and the bytes put together by position."""
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    if len(values) and values.min() < 0:
+        raise IndexError("token ids are not negative")
+    valid = lists.is_valid().to_pylist()
+    return pa.array([b"".join([tokens[i] for i in values[a:b].tolist()]) if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], valid, strict=True)], pa.binary())
+
+
 def bpe_decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that its ids stand for; null ids give null, unknown ids raise ``IndexError``.
 
-    The token-byte table (of fixed size, broadcast) is joined to the ids by position: a table lookup where the ids are.
+    The token-byte table (of fixed size, broadcast) is joined to the ids where they are.
     """
     table = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: list[bytes] = [b""] * (max(table.value.values()) + 1)
-        for token, rank in table.value.items():
-            tokens[rank] = token
+        tokens = token_bytes(table.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lists = part.column(part.schema.get_field_index(ids_col))
-                offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-                if len(values) and values.min() < 0:
-                    raise IndexError("token ids are not negative")
-                made = [None if not ok else b"".join([tokens[i] for i in values[a:b].tolist()]) for a, b, ok in zip(offsets[:-1], offsets[1:], lists.is_valid().to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], names=[*part.schema.names, out_col])
+                made = decoded(part.column(part.schema.get_field_index(ids_col)), tokens)
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, out_col])
 
     return encoded.mapInArrow(decode, StructType([*encoded.schema.fields, StructField(out_col, BinaryType())]))
 
@@ -114,6 +133,6 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: how many ids its text has, and digests of the ids and of what they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    both = bpe_decode(bpe_encode(docs, path), path)
+    both = bpe_encode(docs, path, decode=True)
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
