@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, language, line_dedup
+from cinderspark.llm import bpe, language, line_dedup, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_bpe": bpe.op4_bpe,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op10_language": language.op10_language,
 }
 SQL = {
