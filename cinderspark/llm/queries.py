@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, language, line_dedup, toxicity
+from cinderspark.llm import bpe, language, line_dedup, secrets, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_bpe": bpe.op4_bpe,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op9_secrets": secrets.op9_secrets,
     "op10_language": language.op10_language,
 }
 SQL = {
