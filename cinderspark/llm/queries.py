@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, language, line_dedup, secrets, toxicity
+from cinderspark.llm import bpe, decontaminate, language, line_dedup, secrets, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_bpe": bpe.op4_bpe,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
     "op9_secrets": secrets.op9_secrets,
     "op10_language": language.op10_language,
