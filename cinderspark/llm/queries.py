@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, language, line_dedup, secrets, toxicity
+from cinderspark.llm import bpe, decontaminate, language, line_dedup, neighbours, secrets, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_neighbours": neighbours.op3_neighbours,
     "op4_bpe": bpe.op4_bpe,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
