@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, language, line_dedup, neighbours, secrets, toxicity
+from cinderspark.llm import bpe, decontaminate, language, line_dedup, neighbours, secrets, token_store, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op8_token_files": token_store.op8_token_files,
     "op9_secrets": secrets.op9_secrets,
     "op10_language": language.op10_language,
 }
