@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, language, line_dedup, neighbours, secrets, token_store, toxicity
+from cinderspark.llm import bpe, decontaminate, jaccard_join, language, line_dedup, neighbours, secrets, token_store, toxicity
 
 QUERIES = {
+    "op1_jaccard": jaccard_join.op1_jaccard,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_neighbours": neighbours.op3_neighbours,
     "op4_bpe": bpe.op4_bpe,
