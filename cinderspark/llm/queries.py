@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, jaccard_join, language, line_dedup, neighbours, secrets, token_store, toxicity
+from cinderspark.llm import bpe, decontaminate, jaccard_join, language, line_dedup, neighbours, secrets, suffix_tree, token_store, toxicity
 
 QUERIES = {
     "op1_jaccard": jaccard_join.op1_jaccard,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_suffix_tree": suffix_tree.op7_suffix_tree,
     "op8_token_files": token_store.op8_token_files,
     "op9_secrets": secrets.op9_secrets,
     "op10_language": language.op10_language,

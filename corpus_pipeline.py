@@ -2,28 +2,59 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinderspark.llm.bpe import bpe_encode
+from cinderspark.llm.decontaminate import ask_index, build_index, contaminated
+from cinderspark.llm.jaccard_join import jaccard_components
+from cinderspark.llm.language import UNKNOWN, fit_languages, predict_languages
 from cinderspark.llm.line_dedup import dedup_texts
 from cinderspark.sources.tables import written
 
 
-def with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``docs`` with the text of ``texts`` (doc_id, text) and its length."""
-    return docs.drop("text", "n_chars").join(texts, "doc_id").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told from their text. Rejected: no letter at all, or no language learnt."""
+    found = predict_languages(docs, fit_languages(docs)).where(F.col("lang_pred") == UNKNOWN).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them only."""
-    return with_text(docs, dedup_texts(docs).select("doc_id", "text"))
+    """Lines that many documents share stay in one of them only; a document that keeps no text goes."""
+    kept = dedup_texts(docs)
+    with_text = docs.drop("text", "n_chars").join(kept.where("n_dropped = 0 or text <> ''").select("doc_id", "text"), "doc_id")
+    return with_text.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8 or more, the smallest id stays."""
+    groups = jaccard_components(docs, width=5, num=80, den=100)
+    return docs.join(groups.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which at least one word in twenty is within a benchmark window go."""
+    found = ask_index(build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = found.where(contaminated(found)).select("doc_id")
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each remaining text: ``doc_id, n_tokens, ids``."""
+    ids = bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [
+    ("language", keep_known_languages),
     ("line dedup", drop_repeated_lines),
+    ("near duplicates", keep_one_of_each_group),
+    ("decontamination", drop_benchmark_passages),
+    ("bpe", encode),
 ]
 
-#: The language stage is a trained classifier, which SQL can't express.
+#: The first stage is a trained classifier, which SQL can't express; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
