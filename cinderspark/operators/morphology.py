@@ -1,7 +1,7 @@
 """Erosion, dilation, opening and closing of binary rasters with a square of ones, on set cells or on dense tiles.
 
-Offsets of a square of size k: erosion looks at -k//2 to k-1-k//2, dilation reaches -(k//2-1) to k//2 for even k (-(k//2) to
-k//2 for odd k). Cells outside the image are unset in every step, so closing by 4 always clears rows and columns 0 and 1 and
+Offsets of a square of size k: erosion looks at -k//2 to k-1-k//2, dilation, its reflection, at -(k//2-1) to k//2 for even k
+(-(k//2) to k//2 for odd k), so that opening never adds a cell. Cells outside the image are unset in every step, so closing by 4 always clears rows and columns 0 and 1 and
 the last ones.
 """
 
@@ -38,7 +38,7 @@ def erode(cells: DataFrame, k: int, height: int, width: int, keys: tuple[str, ..
 
 def dilate(cells: DataFrame, k: int, height: int, width: int, keys: tuple[str, ...] = ("y",)) -> DataFrame:
     """Cells that a set cell's square reaches."""
-    return _spread(cells, dilation_offsets(k), height, width, list(keys)).distinct()
+    return _spread(cells, [-d for d in dilation_offsets(k)], height, width, list(keys)).distinct()
 
 
 def opening(cells: DataFrame, k: int, height: int, width: int, keys: tuple[str, ...] = ("y",)) -> DataFrame:
@@ -59,7 +59,7 @@ def dense(grid: np.ndarray, k: int, erosion: bool) -> np.ndarray:
     """One step on a dense grid; what lies outside is unset."""
     out = np.full(grid.shape, erosion)
     h, w = grid.shape
-    offsets = erosion_offsets(k) if erosion else [-d for d in dilation_offsets(k)]
+    offsets = erosion_offsets(k) if erosion else dilation_offsets(k)
     for dr in offsets:
         for dc in offsets:
             moved = np.zeros(grid.shape, bool)
