@@ -100,7 +100,7 @@ def fill_masked(classified: DataFrame, mask: DataFrame, fill: float = 0, low: in
 
 def filter_report(filled: DataFrame) -> DataFrame:
     """Counters of each year: all cells, masked cells, and cells that were set and are no longer."""
-    return filled.groupBy("y").agg(F.count("*").alias("total_pixels"), F.count_if("masked").alias("masked_pixels"), F.count_if("v <> 0 and out = 0").alias("pixels_filtered_to_zero"))
+    return filled.groupBy("y").agg(F.count("*").alias("total_pixels"), F.count_if("masked").alias("masked_pixels"), F.count_if((F.col("v") != 0) & (F.col("out") == 0)).alias("pixels_filtered_to_zero"))
 
 
 def remove_masked(classified: DataFrame, mask: DataFrame) -> DataFrame:
