@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cinderspark.llm.common import WS, Out, docs_of, partitions, rows
 
@@ -175,27 +176,30 @@ def kept_lines(bits: bytes | None, text: str | None) -> str:
     return "\n".join(line for line, k in zip(lines, keep, strict=True) if k)
 
 
-def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped``: each document's remaining text, in one pass with its dropped lines.
+def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` (all columns) as ``row``, with each document's remaining ``text``, ``n_lines`` and ``n_dropped``.
 
-    The text travels once, to its document's decisions; the bitmaps are made and applied where both meet.
+    The rows travel once, to their dropped lines; text and bitmap meet there. Rules are those of :func:`line_dedup`.
     """
-    docs = docs_of(docs)
-    lost = dropped_lines(docs, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("pos").alias("lost"))
-    return docs.join(lost, "doc_id", "left").mapInArrow(_apply, "doc_id long, text string, n_lines long, n_dropped long")
+    lost = dropped_lines(docs_of(docs, id_col, text_col), min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("pos").alias("lost"))
+    kept = docs.select(F.struct(*(c for c in docs.columns if c != text_col)).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    schema = StructType([kept.schema["row"], StructField("doc_id", LongType()), StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    return kept.join(lost, "doc_id", "left").select("row", "doc_id", "text", "lost").mapInArrow(_apply, schema)
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    made = Out(pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())]))
-    for doc_id, text, lost in rows(batches, "doc_id", "text", "lost"):
-        text = text or ""
-        lines = text.split("\n")
-        if gone := {p for p in lost or () if p < len(lines)}:
-            text = "\n".join(line for i, line in enumerate(lines) if i not in gone)
-        made.add((doc_id, text, len(lines), len(gone)), 40 + len(text))
-        if made.full():
-            yield made.take()
-    yield made.take()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            out: list[tuple] = []
+            for text, lost in zip(part.column("text").to_pylist(), part.column("lost").to_pylist(), strict=True):
+                text = text or ""
+                lines = text.split("\n")
+                if gone := {p for p in lost or () if p < len(lines)}:
+                    text = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+                out.append((text, len(lines), len(gone)))
+            made = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), *made], names=["row", "doc_id", "text", "n_lines", "n_dropped"])
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

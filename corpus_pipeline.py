@@ -22,15 +22,15 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them only; a document that keeps no text goes."""
-    kept = dedup_texts(docs)
-    with_text = docs.drop("text", "n_chars").join(kept.where("n_dropped = 0 or text <> ''").select("doc_id", "text"), "doc_id")
-    return with_text.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    kept = dedup_texts(docs).where("n_dropped = 0 or text <> ''")
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return kept.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 or more, the smallest id stays."""
     groups = jaccard_components(docs, width=5, num=80, den=100)
-    return docs.join(groups.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
