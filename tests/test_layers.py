@@ -93,7 +93,7 @@ def test_spatial_join_equals_all_pairs(spark):
         return spark.createDataFrame(rows, "id long, year int, minx long, miny long, maxx long, maxy long, kind string")
 
     a, b = layer(40, "scar"), layer(60, "poly")
-    pairs = {(r["l"]["id"], r["r"]["id"] if r["r"] else None) for r in V.spatial_join(a, b, ["year"], 8, "left").collect()}
+    pairs = {(r["l_id"], r["r_id"]) for r in V.spatial_join(a, b, ["year"], 8, "left").collect()}
     got = V.spatial_join(a, b, ["year"], 8).count()
     want = {(x["id"], y["id"]) for x in a.collect() for y in b.collect() if x["year"] == y["year"] and x["minx"] <= y["maxx"] and x["maxx"] >= y["minx"] and x["miny"] <= y["maxy"] and x["maxy"] >= y["miny"]}
     alone = {(x["id"], None) for x in a.collect()} - {(i, None) for i, _ in want}
