@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspark.llm.blocks import pack, trim, unpack
-from cinderspark.llm.common import U64, Hashes, docs_of, rows
+from cinderspark.llm.common import U64, Hashes, docs_of, mix, rows
 from cinderspark.sources.tables import written
 
 #: Bytes to words: A-Z lower-cased; ASCII other than letters and digits is a gap; all other characters are of words.
@@ -132,8 +132,11 @@ class Part:
             lo = hi
 
 
-def windows_of(items: list[tuple[int, str]], width: int = 13) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term hashes of every window, their sizes, and their items; an item of fewer than ``width`` words, but not none, is one window."""
+def windows_of(items: list[tuple[int, str]], width: int = 13) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Term hashes of every distinct window, their sizes, and their items: those of window i are ``owner[first[i]:first[i + 1]]``.
+
+    An item of fewer than ``width`` words, but not none, is one window.
+    """
     seen, found, sizes, owner = Hashes(), [], [], []
     for item, text in items:
         h = seen.array(words_of(text))
@@ -145,7 +148,14 @@ def windows_of(items: list[tuple[int, str]], width: int = 13) -> tuple[np.ndarra
             found.append(np.lib.stride_tricks.sliding_window_view(h, width))
         sizes += [min(len(h), width)] * len(found[-1])
         owner += [item] * len(found[-1])
-    return (np.concatenate(found) if found else np.zeros((0, width), U64)), np.array(sizes, np.int64), np.array(owner, np.int64)
+    windows, sizes, owner = (np.concatenate(found) if found else np.zeros((0, width), U64)), np.array(sizes, np.int64), np.array(owner, np.int64)
+    with np.errstate(over="ignore"):
+        whole = mix(sizes.astype(U64))
+        for column in windows.T:
+            whole = mix(whole * U64(0x9E3779B97F4A7C15) + column)
+    _, kept, number = np.unique(whole, return_index=True, return_inverse=True)
+    pairs = np.unique(np.stack([number, owner], 1), axis=0)
+    return windows[kept], sizes[kept], np.searchsorted(pairs[:, 0], np.arange(len(kept) + 1)), pairs[:, 1]
 
 
 def ask_index(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = 13, slop: int = 0) -> DataFrame:
@@ -174,12 +184,15 @@ def ask_index(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id",
             hit = np.zeros(part.length + 1, np.int32)
             pairs = []
             for group in groups:
-                windows, sizes, owner = group.value
+                windows, sizes, first, owner = group.value
                 for w, place in part.find(windows, sizes, slop):
                     np.add.at(hit, place, 1)
                     np.add.at(hit, place + sizes[w], -1)
                     doc = np.searchsorted(part.start, place, "right") - 1
-                    pairs.append(np.unique(np.stack([doc, owner[w]], 1), axis=0))
+                    doc, w = np.unique(np.stack([doc, w], 1), axis=0).T
+                    many = first[w + 1] - first[w]
+                    at = np.repeat(first[w] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                    pairs.append(np.unique(np.stack([np.repeat(doc, many), owner[at]], 1), axis=0))
             pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
             hit = np.cumsum(hit)[:-1] > 0
             turn = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
