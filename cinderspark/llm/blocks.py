@@ -22,6 +22,7 @@ import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cinderspark.llm.common import partitions, rows
 
@@ -111,7 +112,7 @@ def to_blocks(docs: DataFrame, split: Callable[[str], list], extra: Callable[[in
             to = np.fromiter((bucket(w, buckets) for w in listed), np.uint16, len(listed))
             flat = rank[flat]
             arrays = [np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), np.array(sizes, np.uint32), flat, to, np.array(marks, np.uint8)]
-            out = [(xxhash.xxh32_intdigest(block.to_bytes(8, "little")) >> 1, block, -1, pack(*arrays))]
+            out = [((task + (seq - 1) * 7919) & 0x7FFFFFFF, block, -1, pack(*arrays))]  # blocks of a task go to different places
             learnt = np.bincount(flat[np.repeat(np.array(marks, bool), sizes)], minlength=len(listed)).astype(np.uint32) if extra else None
             by = np.argsort(to, kind="stable")
             cuts = np.flatnonzero(np.diff(to[by])) + 1
@@ -150,7 +151,13 @@ def in_buckets(blocks: DataFrame, answer: Callable[[], Callable[[bytes], bytes]]
                 part["data"] = [x if b < 0 else of(x) for b, x in zip(part["bucket"], part["data"], strict=True)]
                 yield pa.RecordBatch.from_pydict(part, schema=SCHEMA)
 
-    return blocks.repartition(partitions(blocks), "key").mapInArrow(run, DDL)
+    return by_bucket(blocks).mapInArrow(run, DDL)
+
+
+def by_bucket(blocks: DataFrame) -> DataFrame:
+    """Rows dealt by key, a partition for each bucket: hashed keys would leave some partitions empty and fill others twice."""
+    n = partitions(blocks)
+    return blocks.repartitionById(n, F.pmod("key", F.lit(n)))
 
 
 class Frame:
@@ -183,4 +190,5 @@ def out_of_blocks(answered: DataFrame, finish: Callable[[Frame], Iterator[pa.Rec
         if frame is not None:
             yield from finish(frame)
 
-    return answered.repartition(partitions(answered), "block").sortWithinPartitions("block", "bucket").mapInArrow(run, ddl)
+    n = partitions(answered)
+    return answered.repartitionById(n, F.pmod(F.shiftright("block", 24) + F.col("block").bitwiseAND(F.lit((1 << 24) - 1)) * 7919, F.lit(n)).cast("int")).sortWithinPartitions("block", "bucket").mapInArrow(run, ddl)
