@@ -86,7 +86,7 @@ class WordCoder:
                 self.older, self.known = self.known, {}
                 new = set(words)
             known, older = self.known, self.older
-            old = new.intersection(older)
+            old = {w for w in new if w in older}  # (set.intersection would walk all of a dict)
             for w in old:
                 known[w] = older[w]
             new -= old
