@@ -11,6 +11,17 @@ from cinderspark.errors import DataContractError
 
 #: The regions that have a classification.
 REGIONS = ("1", "2", "4", "6")
+#: The files of the lasting masks by land-cover code, of all-years farmland, and, by year, of rivers and lakes, of
+#: infrastructure and of everything.
+MASK_FILES = {
+    29: "mascara_alfloramiento_rocoso_acumulado.tif",
+    23: "mascara_arena_playa_duna_acumulado.tif",
+    61: "mascara_salar_acumulado.tif",
+    34: "mascara_hielo_nieve_acumulado.tif",
+    25: "mascara_otra_area_sin_vegetacion_acumulado.tif",
+    18: "mascara_agricultura_interseccion_todos_anos.tif",
+}
+YEARLY_MASK_FILES = {33: "mascara_rio_lago_{year}.tif", 24: "mascara_infraestructura_{year}.tif", None: "mascara_total_{year}.tif"}
 
 
 def year_of_stem(stem: Column) -> Column:

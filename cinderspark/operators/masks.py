@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from cinderspark.errors import DataContractError, MissingInputError
 
-#: Land-cover codes whose presence in any year masks a cell; the code that must hold in all years; yearly codes.
-ANY_YEAR = {29: "afloramiento_rocoso", 23: "playa_duna_arenal", 61: "salar", 34: "hielo_nieve", 25: "otra_area_sin_vegetacion"}
+#: Land-cover codes whose presence in any year masks a cell; the code that must hold in all years; codes that mask their own year.
+ANY_YEAR = (29, 23, 61, 34, 25)
 EVERY_YEAR = 18
-YEARLY = {33: "rio_lago", 24: "infraestructura"}
+YEARLY = (33, 24)
 
 
 def band_of_year(year: int, start: int, count: int) -> int:

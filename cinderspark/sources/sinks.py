@@ -12,7 +12,7 @@ from cinderspark.functions.naming import scar_name
 from cinderspark.operators.mlp import Network
 
 
-def run_report(report: DataFrame, run_timestamp: str, fill: float = 0.0, mask_mode: str = "binary_1_means_remove") -> DataFrame:
+def run_report(report: DataFrame, run_timestamp: str, fill: float = 0.0, mask_mode: str = "binary") -> DataFrame:
     """The ten fields of a filter report, from (input_file, output_file, mask_file, y, counters)."""
     return report.select("input_file", "output_file", "mask_file", F.col("y").alias("year"), F.lit(run_timestamp).alias("run_timestamp"), F.lit(mask_mode).alias("mask_mode"), F.lit(float(fill)).alias("fill_value"), "total_pixels", "masked_pixels", "pixels_filtered_to_zero")
 
