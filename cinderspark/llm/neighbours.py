@@ -69,7 +69,7 @@ def fit_codebooks(x: np.ndarray, m: int = 8, k: int = 256, rounds: int = 12, see
         rest -= c[near]
     books = Codebooks(np.stack(words).astype(np.float32))
     for _ in range(2):
-        codes, _ = books.encode(x)
+        codes = np.concatenate([books.encode(x[i : i + 1024])[0] for i in range(0, len(x), 1024)])
         cols = codes.astype(np.int64) + np.arange(m) * k
         gram = np.zeros((m * k, m * k), np.float32)
         for i in range(m):
