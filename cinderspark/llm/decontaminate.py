@@ -221,3 +221,20 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ask_index(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed.cast("binary"), 256).alias("items_sha256"), contaminated(found).alias("contaminated"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+q AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, list_slice(w, i, i + least(len(w), 13) - 1) AS g
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS g
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n)),
+h AS (SELECT p.doc_id, p.i, p.n, q.item_id FROM p JOIN q USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS c FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM h)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS k, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c, 0) AS n_hit, coalesce(k, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(c, 0) > 0 AND 20 * coalesce(c, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""

@@ -18,4 +18,5 @@ QUERIES = {
 }
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
 }
