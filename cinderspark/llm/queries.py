@@ -17,6 +17,7 @@ QUERIES = {
     "op10_language": language.op10_language,
 }
 SQL = {
+    "op1_jaccard": jaccard_join.OP1_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
 }
