@@ -411,6 +411,11 @@ def _(spark, d):
     return longs(C.component_areas(C.components(cells, 64, 64, tile=16)).select("y", "component", "cells"))
 
 
+@query("components_area_years")
+def _(spark, d):
+    return longs(C.component_areas(C.components(I.burnt(spark, d), 64, 64, tile=16)).select("y", "component", "cells"))
+
+
 @query("outline_trace")
 def _(spark, d):
     from cinderspark.operators.geometry import measured
