@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cinderspark.errors import DataContractError
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -18,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     at = spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise DataContractError("spark.checkpoint.dir names no folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cinderspark-"))
         at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
@@ -35,7 +39,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_at = path
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the working table that :func:`written` gave; nothing may read from it afterwards."""
+    entry = (df.sparkSession, df.written_at)
+    if entry in _written:
+        _written.remove(entry)
+        _delete(*entry)
 
 
 def drop_written(spark: SparkSession | None = None) -> None:
@@ -43,9 +62,7 @@ def drop_written(spark: SparkSession | None = None) -> None:
     for entry in [x for x in _written if spark is None or x[0] is spark]:
         _written.remove(entry)
         try:
-            jvm = entry[0].sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(entry[1])
-            path.getFileSystem(entry[0].sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(*entry)
         except Exception:  # noqa: BLE001  the session has ended; nothing is left to ask
             continue
 
