@@ -170,21 +170,22 @@ class Frame:
         self.answers: list[bytes] = []
 
 
-def out_of_blocks(answered: DataFrame, finish: Callable[[Frame], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
-    """``finish`` of each block; one block is held at a time."""
+def out_of_blocks(answered: DataFrame, finish: Callable, ddl: str, frame_of: Callable = Frame) -> DataFrame:
+    """``finish`` of each block, opened by ``frame_of``; one block is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frame = None
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
                 part = batch.slice(at, 16)
-                for bucket, data in zip(part.column("bucket").to_pylist(), part.column("data").to_pylist(), strict=True):
+                for block, bucket, data in zip(*(part.column(c).to_pylist() for c in ("block", "bucket", "data")), strict=True):
                     if bucket < 0:
                         if frame is not None:
                             yield from finish(frame)
                             frame = None
                             trim()
-                        frame = Frame(data)
+                        frame = frame_of(data)
+                        frame.block = block
                     else:
                         frame.answers.append(data)
         if frame is not None:
