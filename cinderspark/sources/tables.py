@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -57,6 +58,17 @@ def drop(df: DataFrame) -> None:
         _delete(*entry)
 
 
+@contextlib.contextmanager
+def scratch():
+    """Working tables made inside are deleted at the end, but for those that are appended to the list it gives."""
+    before, kept = {path for _, path in _written}, []
+    yield kept
+    stay = before | {df.written_at for df in kept}
+    for entry in [x for x in _written if x[1] not in stay]:
+        _written.remove(entry)
+        _delete(*entry)
+
+
 def drop_written(spark: SparkSession | None = None) -> None:
     """Delete the working tables of ``spark`` (of every session, if None). Results read from them must be done with."""
     for entry in [x for x in _written if spark is None or x[0] is spark]:
