@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderspark.llm.common import partitions, rows
+from cinderspark.llm.common import distinct, partitions, rows, word_hashes
 
 SCHEMA = pa.schema([("key", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 DDL = "key int, block long, bucket int, data binary"
@@ -86,8 +86,44 @@ def bucket_of(word: bytes, n: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % n
 
 
-def to_blocks(docs: DataFrame, split: Callable[[str], list], extra: Callable[[int | None, str], int] | None = None, bucket: Callable[[bytes, int], int] = bucket_of, most_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
-    """Frames and word rows of ``docs(doc_id, text)``; ``split`` gives the tokens of a text, as str or bytes.
+def numbered(split: Callable[[str], list]) -> Callable:
+    """Numbers the tokens of a block's texts, as ``split`` gives them, in order of first sight."""
+
+    def run(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list]:
+        words, found = Words(), []
+        for text in texts:
+            tokens = split(text)
+            found.append(np.fromiter(map(words.__getitem__, tokens), np.uint32, len(tokens)))
+        return np.concatenate(found), np.array([len(x) for x in found], np.uint32), list(words)
+
+    return run
+
+
+def numbered_words(texts: list[str], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers the white-space-bounded words of a block's texts (A-Z lower-cased), by hash, about ``most`` bytes at a time."""
+    parts, held, size = [], [], 0
+    for text in texts:
+        held.append(text.encode())
+        size += len(held[-1]) + 1
+        if size >= most:
+            parts.append(word_hashes(held))
+            held, size = [], 0
+    if held or not parts:
+        parts.append(word_hashes(held))
+    value, at, number = distinct(np.concatenate([p[3] for p in parts]))
+    begin = np.cumsum([0, *(len(p[3]) for p in parts)])
+    part = np.searchsorted(begin, at, "right") - 1
+    words: list[bytes] = [b""] * len(value)
+    for k, (data, start, end, *_) in enumerate(parts):
+        body, own = data.tobytes().lower(), np.flatnonzero(part == k)
+        i = at[own] - begin[k]
+        for w, a, b in zip(own.tolist(), start[i].tolist(), end[i].tolist(), strict=True):
+            words[w] = body[a:b]
+    return number.astype(np.uint32), np.concatenate([np.diff(p[4]) for p in parts]).astype(np.uint32), words
+
+
+def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Callable[[int | None, str], int] | None = None, bucket: Callable[[bytes, int], int] = bucket_of, most_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
+    """Frames and word rows of ``docs(doc_id, text)``; ``number`` gives a block's token numbers, tokens a text, and tokens (str or bytes).
 
     A frame packs doc ids, whether an id is null, tokens a document, token numbers, and the bucket of each number; then
     ``extra``'s number for each document. With ``extra``, word rows carry how often each word stands in documents whose
@@ -97,39 +133,40 @@ def to_blocks(docs: DataFrame, split: Callable[[str], list], extra: Callable[[in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seq = TaskContext.get().partitionId(), 0
-        words, ids, sizes, marks, numbers, chars = Words(), [], [], [], [], 0
+        ids: list[int | None] = []
+        texts: list[str] = []
+        chars = 0
 
         def take() -> pa.RecordBatch:
-            nonlocal words, ids, sizes, marks, numbers, chars, seq
+            nonlocal seq, chars
             block, seq = task << 24 | seq, seq + 1
-            flat = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
+            flat, sizes, words = number(texts)
+            marks = np.array([extra(i, t) if extra else 0 for i, t in zip(ids, texts, strict=True)], np.uint8)
+            texts.clear()
             count = np.bincount(flat, minlength=len(words))
             order = np.argsort(-count, kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
-            listed = list(words)
-            listed = [w if isinstance(w, bytes) else w.encode() for w in (listed[i] for i in order.tolist())]
+            listed = [w if isinstance(w, bytes) else w.encode() for w in (words[i] for i in order.tolist())]
             to = np.fromiter((bucket(w, buckets) for w in listed), np.uint16, len(listed))
             flat = rank[flat]
-            arrays = [np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), np.array(sizes, np.uint32), flat, to, np.array(marks, np.uint8)]
+            arrays = [np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), sizes, flat, to, marks]
             out = [((task + (seq - 1) * 7919) & 0x7FFFFFFF, block, -1, pack(*arrays))]  # blocks of a task go to different places
-            learnt = np.bincount(flat[np.repeat(np.array(marks, bool), sizes)], minlength=len(listed)).astype(np.uint32) if extra else None
+            learnt = np.bincount(flat[np.repeat(marks.astype(bool), sizes)], minlength=len(listed)).astype(np.uint32) if extra else None
             by = np.argsort(to, kind="stable")
             cuts = np.flatnonzero(np.diff(to[by])) + 1
             for part in np.split(by, cuts) if len(by) else ():
                 data = pack_words([listed[i] for i in part.tolist()]) + (pack(learnt[part]) if extra else b"")
                 out.append((int(to[part[0]]), block, int(to[part[0]]), data))
-            words, ids, sizes, marks, numbers, chars = Words(), [], [], [], [], 0
+            ids.clear()
+            chars = 0
             trim()
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), SCHEMA, strict=True)], schema=SCHEMA)
 
         for doc_id, text in rows(batches, "doc_id", "text"):
-            tokens = split(text or "")
             ids.append(doc_id)
-            sizes.append(len(tokens))
-            marks.append(extra(doc_id, text or "") if extra else 0)
-            numbers.append(np.fromiter(map(words.__getitem__, tokens), np.uint32, len(tokens)))
-            chars += len(text or "") + 16
+            texts.append(text or "")
+            chars += len(texts[-1]) + 16
             if chars >= most_chars:
                 yield take()
         if ids:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from cinderspark.llm.blocks import Frame, in_buckets, out_of_blocks, pack, to_blocks, unpack, unpack_words
+from cinderspark.llm.blocks import Frame, in_buckets, numbered, out_of_blocks, pack, to_blocks, unpack, unpack_words
 from cinderspark.llm.common import docs_of
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -58,7 +58,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
         return of
 
     find = regex.compile(pattern)
-    blocks = to_blocks(docs_of(docs, id_col, text_col), lambda text: find.findall(text))
+    blocks = to_blocks(docs_of(docs, id_col, text_col), numbered(lambda text: find.findall(text)))
     if not decode:
         return out_of_blocks(in_buckets(blocks, answer), _place, "doc_id long, ids array<int>")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: The white space that bounds words: space, and U+0009 to U+000D.
 WS = " \t\n\x0b\x0c\r"
 U64 = np.uint64
+STEP, SALT = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 MIX1, MIX2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 
 
@@ -29,6 +30,52 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(33))
 
 
+def _table() -> np.ndarray:
+    """A number for each byte; those of A-Z are those of a-z."""
+    made = mix(np.arange(1, 257, dtype=U64) * SALT)
+    made[65:91] = made[97:123]
+    return made
+
+
+BYTE, GAP = _table(), np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+BASE = 0x2545F4914F6CDD1D | 1
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """BASE and its inverse (modulo 2^64) to the powers 0 to n - 1, made once a process and grown by doubling."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, 1 << 20, 2 * len(_powers[0]) if _powers else 0)
+        with np.errstate(over="ignore"):
+            _powers[:] = [np.cumprod(np.r_[U64(1), np.full(size - 1, U64(x))]) for x in (BASE, pow(BASE, -1, 1 << 64))]
+    return _powers
+
+
+def word_hashes(texts: list[bytes]) -> tuple:
+    """The words of many texts at once: their bytes (A-Z lower-cased), starts, ends and 64-bit hashes, and the number of each text's first word.
+
+    A word's hash is the sum of its bytes' numbers times the powers of BASE, taken from one running sum and finalised.
+    """
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    edge = np.flatnonzero(np.diff(GAP[data], prepend=True))
+    start, end = edge[::2], edge[1::2]
+    up, down = powers(len(data))
+    with np.errstate(over="ignore"):
+        total = np.r_[U64(0), np.cumsum(BYTE[data] * up[: len(data)])]
+        h = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64) * STEP)
+    return data, start, end, h, np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, the place of one of each, and each element's number among them."""
+    order = np.argsort(x)
+    y = x[order]
+    new = np.r_[True, y[1:] != y[:-1]] if len(y) else np.zeros(0, bool)
+    number = np.empty(len(x), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return y[new], order[new], number
+
+
 class Hashes(dict):
     """Word (bytes) to its 64-bit hash, remembered up to a bound."""
 

@@ -26,7 +26,6 @@ def spec():
 
 OPERATORS = {
     "jaccard": lambda d: jaccard_join.jaccard_components(d),
-    "lines": lambda d: line_dedup.line_dedup(d, 3, 2),
     "line texts": lambda d: line_dedup.dedup_texts(d, 3, 2),
     "encode": lambda d: bpe.bpe_encode(d, RANKS),
     "round trip": lambda d: bpe.bpe_decode(bpe.bpe_encode(d, RANKS), RANKS),
@@ -58,7 +57,8 @@ def test_files_hold_each_row(spark, docs, tmp_path):
 def test_defined_results(docs):
     j = {r["doc_id"]: r for r in jaccard_join.jaccard_components(docs).collect()}
     assert (j[1]["n_shingles"], j[3]["n_shingles"], j[1]["component_id"], j[None]["component_id"], j[5]["n_shingles"]) == (0, 0, 1, None, 1)
-    lines = {r["doc_id"]: r for r in line_dedup.line_dedup(docs, 3, 2).collect()}
+    lines = {r["doc_id"]: r for r in line_dedup.dedup_texts(docs, 3, 2).collect()}
+    assert line_dedup.line_dedup(docs, 3, 2).count() == line_dedup.line_dedup(docs.where("false"), 3, 2).count() == 0
     assert lines[1]["n_lines"] == lines[2]["n_lines"] == 1 and lines[4]["n_dropped"] == 0
     s = {r["doc_id"]: r for r in suffix_tree.score_texts(docs).collect()}
     assert s[1]["n_tokens"] == s[2]["n_tokens"] == s[3]["n_tokens"] == 1 and s[5]["n_tokens"] == 30_001

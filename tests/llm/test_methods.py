@@ -76,9 +76,19 @@ def test_line_dedup_equals_brute_force(spark):
                 holders[key(s)].add(i)
     gone = {k: max(v) for k, v in holders.items() if len(v) >= 3}
     want = {i: "\n".join(s for s in t.split("\n") if gone.get(key(s), i) == i) for i, t in enumerate(made)}
-    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_texts(docs, 10, 3).collect()} == want
+    for most_sent in (1 << 20, 0):  # bitmaps sent to every task, and joined
+        got = line_dedup.dedup_texts(docs, 10, 3, most_sent=most_sent).collect()
+        assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_lines"] - r["n_dropped"]) for r in got} == {i: (t, made[i].count("\n") + 1, sum(gone.get(key(s), i) == i for s in made[i].split("\n"))) for i, t in want.items()}
     bits = {r["doc_id"]: r["keep"] for r in line_dedup.line_dedup(docs, 10, 3).collect()}
-    assert {i: line_dedup.kept_lines(bits[i], made[i]) for i in bits} == want
+    assert {i: line_dedup.kept_lines(bits.get(i), t)[0] for i, t in enumerate(made)} == want
+    assert set(bits) == {i for i in want if want[i] != made[i]}
+
+
+def test_a_line_that_fills_several_partitions(spark):
+    line = "the very same line of every one of these documents"
+    docs = spark.createDataFrame([(i, f"{line}\nown line number {i} of a document, and long enough") for i in range(3000)], "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_texts(docs).collect()}
+    assert [i for i in got if got[i] == 0] == [2999] and sum(got.values()) == 2999
 
 
 def test_split_equals_the_pattern():
