@@ -6,7 +6,6 @@ from cinderspark.llm import bpe, decontaminate, jaccard_join, language, line_ded
 
 QUERIES = {
     "op1_jaccard": jaccard_join.op1_jaccard,
-    "op1_jaccard_links": jaccard_join.op1_jaccard_links,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_neighbours": neighbours.op3_neighbours,
     "op4_bpe": bpe.op4_bpe,
