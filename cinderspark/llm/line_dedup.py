@@ -13,17 +13,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cinderspark.llm.common import WS, Out, docs_of, partitions, rows
+from cinderspark.sources.tables import written
 
 LINES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
 FOUND = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("open", pa.bool_())])
 
 
+#: Bytes of keep bitmaps that go to every task; more are joined by document.
+MOST_SENT = 32 << 20
+
+
 def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Which lines to keep: ``doc_id, n_lines, n_dropped, keep`` for each document.
+    """Which lines to keep: ``doc_id, keep`` of each document that loses lines, once.
 
     A line's key is the line stripped of ASCII white space and with A-Z lower-cased. Keys of at least ``min_chars`` code
     points found in at least ``min_docs`` documents lose all lines, except in the largest ``doc_id`` that holds them.
-    ``keep`` is a zlib-compressed bitmap (bit i, most significant first, is line i); it is null where all lines stay.
+    ``keep`` is a zlib-compressed bitmap (bit i, most significant first, is line i) up to the last line that goes; lines after
+    it stay.
 
     The key hashes (128 bits) are range-partitioned with the document, descending, and the position as secondary order: a
     key that holds a third of all lines is split over partitions, a task streams its runs and holds back only the lines of
@@ -31,15 +37,10 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     aggregated apart (two keys a partition at most, so they can be broadcast) and decide them.
 
     Null text is one empty line. Rows with a null id count for no key and keep all lines. Rows that repeat an id count as
-    one document and each gets the decisions of its own positions (those of any row with that id). An empty table gives an
-    empty result. Other columns are ignored.
+    one document, whose bitmap holds for each of them. An empty table gives an empty result. Other columns are ignored.
     """
-    docs = docs_of(docs, id_col, text_col)
-    dropped = dropped_lines(docs, min_chars, min_docs)
-    lost = dropped.groupBy("doc_id").agg(F.collect_set("pos").alias("lost"))
-    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
-    counted = docs.select("doc_id", n_lines.alias("n_lines")).join(lost, "doc_id", "left")
-    return counted.mapInArrow(_bitmaps, "doc_id long, n_lines long, n_dropped long, keep binary")
+    dropped = dropped_lines(docs_of(docs, id_col, text_col), min_chars, min_docs)
+    return dropped.groupBy("doc_id").agg(F.collect_set("pos").alias("lost")).mapInArrow(_bitmaps, "doc_id long, keep binary")
 
 
 def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
@@ -152,52 +153,48 @@ def _stream(min_docs: int):
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    made = Out(pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("keep", pa.binary())]))
-    for doc_id, n_lines, lost in rows(batches, "doc_id", "n_lines", "lost"):
-        lost = [p for p in lost or () if p < n_lines]
-        bits = None
-        if lost:
-            keep = np.ones(n_lines, bool)
-            keep[lost] = False
-            bits = zlib.compress(np.packbits(keep).tobytes())
-        made.add((doc_id, n_lines, len(lost), bits), 40 + len(bits or b""))
+    made = Out(pa.schema([("doc_id", pa.int64()), ("keep", pa.binary())]))
+    for doc_id, lost in rows(batches, "doc_id", "lost"):
+        keep = np.ones((max(lost) + 8) // 8 * 8, bool)  # whole bytes: bits past the last line that goes are set
+        keep[lost] = False
+        made.add((doc_id, zlib.compress(np.packbits(keep).tobytes())), 100)
         if made.full():
             yield made.take()
     yield made.take()
 
 
-def kept_lines(bits: bytes | None, text: str | None) -> str:
-    """``text`` without the lines that a keep bitmap has dropped."""
+def kept_lines(bits: bytes | None, text: str | None) -> tuple[str, int, int]:
+    """``text`` without the lines that a keep bitmap drops; how many lines it had, and how many go."""
     text = text or ""
     if bits is None:
-        return text
+        return text, text.count("\n") + 1, 0
     lines = text.split("\n")
-    keep = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=len(lines))
-    return "\n".join(line for line, k in zip(lines, keep, strict=True) if k)
+    keep = np.ones(len(lines), bool)
+    told = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8)).astype(bool)[: len(lines)]
+    keep[: len(told)] = told
+    gone = len(lines) - int(keep.sum())
+    return "\n".join(line for line, k in zip(lines, keep.tolist(), strict=True) if k), len(lines), gone
 
 
-def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", most_sent: int = MOST_SENT) -> DataFrame:
     """``docs`` (all columns) as ``row``, with each document's remaining ``text``, ``n_lines`` and ``n_dropped``.
 
-    The rows travel once, to their dropped lines; text and bitmap meet there. Rules are those of :func:`line_dedup`.
+    The bitmaps of :func:`line_dedup` are stored, and applied where the texts are: sent to every task while they are of at most
+    ``most_sent`` bytes altogether, else joined by document. Rules are those of :func:`line_dedup`.
     """
-    lost = dropped_lines(docs_of(docs, id_col, text_col), min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("pos").alias("lost"))
+    bits = written(line_dedup(docs, min_chars, min_docs, id_col, text_col), "keep")
+    size = bits.agg(F.sum(F.length("keep") + 40).alias("n")).first()["n"] or 0
     kept = docs.select(F.struct(*(c for c in docs.columns if c != text_col)).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = StructType([kept.schema["row"], StructField("doc_id", LongType()), StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return kept.join(lost, "doc_id", "left").select("row", "doc_id", "text", "lost").mapInArrow(_apply, schema)
+    side = F.broadcast(bits) if size <= most_sent else bits.hint("shuffle_merge")
+    return kept.join(side, "doc_id", "left").select("row", "doc_id", "text", "keep").mapInArrow(_apply, schema)
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            out: list[tuple] = []
-            for text, lost in zip(part.column("text").to_pylist(), part.column("lost").to_pylist(), strict=True):
-                text = text or ""
-                lines = text.split("\n")
-                if gone := {p for p in lost or () if p < len(lines)}:
-                    text = "\n".join(line for i, line in enumerate(lines) if i not in gone)
-                out.append((text, len(lines), len(gone)))
+            out = [kept_lines(keep, text) for keep, text in zip(part.column("keep").to_pylist(), part.column("text").to_pylist(), strict=True)]
             made = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), *made], names=["row", "doc_id", "text", "n_lines", "n_dropped"])
 
