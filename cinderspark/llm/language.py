@@ -17,7 +17,7 @@ from cinderspark.llm.common import docs_of, fold, rows
 BINS = 4096
 UNKNOWN = "und"
 LETTER = regex.compile(r"[A-Za-z]|\p{L}")
-OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("codeword", pa.string())])
+OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("codeword", pa.string()), ("distance", pa.float64()), ("near", pa.bool_())])
 
 
 def features(texts: list[str]) -> np.ndarray:
@@ -67,10 +67,11 @@ def codewords(k: int) -> np.ndarray:
 
 
 class LanguageModel:
-    """Languages, their codewords, and a weight vector and a reliability for each bit."""
+    """Languages, their codewords, a weight vector and a reliability for each bit, and the distance that learnt texts keep to their codeword."""
 
     def __init__(self, languages: list[str], code: np.ndarray, weights: np.ndarray, bias: np.ndarray, trust: np.ndarray):
         self.languages, self.code, self.weights, self.bias, self.trust = languages, code, weights, bias, trust
+        self.reach = np.inf
 
     def losses(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Loss of each codeword for each row, and the bits' margins: logistic losses, weighted by the bits' reliability."""
@@ -96,20 +97,25 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 120) -
         w, bias = w + v, bias + vb
     right = ((x @ w + bias) * want > 0).mean(0)
     trust = np.log((right + 0.01) / (1.01 - right))
-    return LanguageModel(languages, code, w, bias, np.maximum(trust / max(trust.max(), 1e-6), 0.05).astype(np.float32))
+    model = LanguageModel(languages, code, w, bias, np.maximum(trust / max(trust.max(), 1e-6), 0.05).astype(np.float32))
+    loss = np.concatenate([model.losses(x[i : i + 1024])[0] for i in range(0, len(x), 1024)])
+    model.reach = float(loss.min(1)[loss.argmin(1) == y].max(initial=0.0))
+    return model
 
 
-def fit_languages(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_language: int = 1200) -> LanguageModel:
+def fit_languages(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_language: int = 1200, most_docs: int = 12_000) -> LanguageModel:
     """Learn from about ``per_language`` documents of each language (a bounded sample by a hash of the id, whole texts).
 
     Rows with null text, language or id teach nothing. The sample's features, made on the executors, come to the driver: 8
-    KB a document.
+    KB a document, so of many languages each has fewer, ``most_docs`` altogether. The largest distance to the right codeword
+    among them is the model's reach.
     """
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
         return LanguageModel([], np.zeros((0, 1), np.int8), np.zeros((BINS, 1), np.float32), np.zeros(1, np.float32), np.ones(1, np.float32))
+    per_language = max(1, min(per_language, most_docs // len(languages)))
     part = F.create_map(*(F.lit(v) for k in languages for v in (k, min(1.0, per_language / counts[k]))))
     sample = known.where((F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6) < part[F.col("lang")])
 
@@ -124,11 +130,12 @@ def fit_languages(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.5) -> DataFrame:
-    """``doc_id, lang_pred, score, ambiguous, codeword`` of each whole text, from the text alone.
+    """``doc_id, lang_pred, score, ambiguous, codeword, distance, near`` of each whole text, from the text alone.
 
     Each bit's classifier gives a margin; the codeword of least weighted loss wins. ``score`` is the winner's share of
     exp(-loss); ``ambiguous`` says that the runner-up is within ``margin`` of the winner's loss, or that the text has no
-    letter; ``codeword`` shows the predicted bits. Null text, and text without a letter, is ``und`` with score 0, as is
+    letter; ``codeword`` shows the predicted bits; ``distance`` is the winner's loss, and ``near`` says that it is no larger
+    than that of any learnt text. Null text, and text without a letter, is ``und`` with score 0, as is
     everything if nothing was learnt. Ties go to the first language in order of name. Each row gives a row. The model's
     size is fixed by the number of languages (16 KB a bit).
     """
@@ -138,7 +145,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
         m = sent.value
         for held in chunks(batches, "doc_id", "text"):
             spoken = [i for i, (_, t) in enumerate(held) if t and m.languages and LETTER.search(t)]
-            lang, score, unsure, bits = [UNKNOWN] * len(held), [0.0] * len(held), [True] * len(held), [""] * len(held)
+            lang, score, unsure, bits, far = [UNKNOWN] * len(held), [0.0] * len(held), [True] * len(held), [""] * len(held), [np.inf] * len(held)
             if spoken:
                 loss, raw = m.losses(features([held[i][1] for i in spoken]))
                 best = loss.argmin(1)
@@ -148,9 +155,16 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
                 for j, i in enumerate(spoken):
                     lang[i], score[i], unsure[i] = m.languages[best[j]], float(weight[j, best[j]] / weight[j].sum()), bool(gap[j] < margin)
                     bits[i] = "".join("1" if r > 0 else "0" for r in raw[j])
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in held], pa.int64()), pa.array(lang), pa.array(score), pa.array(unsure), pa.array(bits)], schema=OUT)
+                    far[i] = float(loss[j, best[j]])
+            near = [d <= m.reach and t != UNKNOWN for d, t in zip(far, lang, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in held], pa.int64()), pa.array(lang), pa.array(score), pa.array(unsure), pa.array(bits), pa.array(far), pa.array(near)], schema=OUT)
 
-    return docs_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean, codeword string")
+    return docs_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean, codeword string, distance double, near boolean")
+
+
+def rejected(found: DataFrame):
+    """Whether a text's language isn't told: it has no letter, or is farther from every codeword than any learnt text."""
+    return (found["lang_pred"] == UNKNOWN) | ~found["near"]
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
