@@ -1,4 +1,10 @@
-"""A training-corpus pipeline: each stage works on all that the one before it kept."""
+"""A training-corpus pipeline: each stage works on all that the one before it kept.
+
+A filtering stage decides row by row: rows are told apart by a hash of id and text, so a null id is a document of its own and
+a row is not drawn along by another one with its id. Rejected rows are stored, so that the plan knows their size: a small
+table goes to every task, a large one is joined by key. Only line dedup and near duplicates, whose decisions are about
+documents, go by id there; rows with a null id are no document, and stay. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspark.llm.bpe import bpe_encode
-from cinderspark.llm.decontaminate import ask_index, build_index, contaminated
+from cinderspark.llm.decontaminate import ask_index, build_index
 from cinderspark.llm.jaccard_join import jaccard_components
-from cinderspark.llm.language import UNKNOWN, fit_languages, predict_languages
+from cinderspark.llm.language import fit_languages, predict_languages, rejected
 from cinderspark.llm.line_dedup import dedup_texts
-from cinderspark.sources.tables import written
+from cinderspark.sources.tables import drop, scratch, written
+
+KEY = "row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*docs.columns, F.xxhash64("doc_id", "text").alias(KEY))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` but those with one of the ``keys`` (column ``doc_id``)."""
+    gone = written(keys.select(F.col("doc_id").alias(KEY)).distinct(), "rejected")
+    return _keyed(docs).join(gone, KEY, "left_anti").select(*docs.columns)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told from their text. Rejected: no letter at all, or no language learnt."""
-    found = predict_languages(docs, fit_languages(docs)).where(F.col("lang_pred") == UNKNOWN).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose language is told from their text: no letter, or no codeword near enough, and a document goes."""
+    model = fit_languages(docs)
+    found = predict_languages(_keyed(docs), model, id_col=KEY)
+    return _without(docs, found.where(rejected(found)))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +49,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 or more, the smallest id stays."""
     groups = jaccard_components(docs, width=5, num=80, den=100)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "rejected")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which at least one word in twenty is within a benchmark window go."""
-    found = ask_index(build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.where(contaminated(found)).select("doc_id")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold any benchmark window go: one of 13 words is enough, however long the document."""
+    found = ask_index(build_index(_keyed(docs), id_col=KEY), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.where("n_hit > 0"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each remaining text: ``doc_id, n_tokens, ids``."""
-    ids = bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each remaining text, and the digest of what they decode to: ``doc_id, n_tokens, ids, decoded_sha256``."""
+    both = bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decode=True)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -54,13 +73,18 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: The first stage is a trained classifier, which SQL can't express; the stages are tested against brute force.
+#: The first stage is a trained classifier, which SQL can't express; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``."""
+    """All stages in order over ``documents``; a stage's input and working tables go when its output is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch() as kept:
+            after = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            kept.append(after)
+        if hasattr(docs, "written_at"):
+            drop(docs)
+        docs = after
     return docs
