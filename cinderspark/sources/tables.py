@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinderspark.errors import DataContractError
 
+#: Spark's setting for deleting shuffle files at the end of a query.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -28,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark would take it to."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends or at :func:`drop_written`."""
     path = f"{shared_dir(spark)}/cinderspark/{name}-{uuid.uuid4().hex}"
@@ -36,10 +44,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, columns stay prunable."""
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, columns stay prunable.
+
+    What the write has shuffled isn't needed after it, so Spark deletes it at once instead of when the driver collects garbage.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before) if before is not None else spark.conf.unset(CLEAN)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_at = path
     return back
