@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderspark.errors import DataContractError
@@ -22,11 +22,15 @@ MASK_FILES = {
     18: "mascara_agricultura_interseccion_todos_anos.tif",
 }
 YEARLY_MASK_FILES = {33: "mascara_rio_lago_{year}.tif", 24: "mascara_infraestructura_{year}.tif", None: "mascara_total_{year}.tif"}
+#: The patterns of years and regions in file stems, of a training sample's id, and of its file; the model's name.
+YEAR_PATTERN, REGION_PATTERN = r"(20\d{2})", "_r([0-9]+)_"
+SAMPLE_PATTERN, TRAINING_PATTERN = r"_v(\d+)_.*?_r(\d+)(?:_[^_]+)*?_(\d{4})", r"^.*_({version})_.*_{region}_.*\.tif$"
+MODEL_FORMAT = "col1_%s_%s_%s_rnn_lstm_ckpt"
 
 
 def year_of_stem(stem: Column) -> Column:
     """The first 20xx anywhere in a file stem; null where there is none."""
-    found = F.regexp_extract(stem, r"(20\d{2})", 1)
+    found = F.regexp_extract(stem, YEAR_PATTERN, 1)
     return F.when(found != "", found.cast("int"))
 
 
@@ -38,7 +42,7 @@ def required_year(stem: Column) -> Column:
 
 def region_of_stem(stem: Column, allowed: tuple[str, ...] = REGIONS) -> Column:
     """The number of the first ``_r<digits>_``; null if there is none or it isn't allowed."""
-    found = F.regexp_extract(stem, "_r([0-9]+)_", 1)
+    found = F.regexp_extract(stem, REGION_PATTERN, 1)
     return F.when(found.isin(*allowed), found)
 
 
@@ -54,14 +58,13 @@ def positional_year(stem: Column) -> Column:
 
 def sample_model_id(name: Column) -> Column:
     """``v<version>_r<region>`` of a training sample's name; null where it has no version, region and year."""
-    pattern = r"_v(\d+)_.*?_r(\d+)(?:_[^_]+)*?_(\d{4})"
-    version, region = F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2)
+    version, region = F.regexp_extract(name, SAMPLE_PATTERN, 1), F.regexp_extract(name, SAMPLE_PATTERN, 2)
     return F.when(version != "", F.concat(F.lit("v"), version, F.lit("_r"), region))
 
 
 def is_training_file(name: Column, version: str, region: str) -> Column:
     """Whether a name has the version, and, after another underscore at least, the region."""
-    return name.rlike(rf"^.*_({re.escape(version)})_.*_{re.escape(region)}_.*\.tif$")
+    return name.rlike(TRAINING_PATTERN.replace("{version}", re.escape(version)).replace("{region}", re.escape(region)))
 
 
 def filtered_name(stem: Column, stamp: Column) -> Column:
@@ -79,7 +82,7 @@ def scar_name(scar_id: Column, area_ha: Column, year: Column) -> Column:
 
 
 def model_name(country: Column, version: Column, region: Column) -> Column:
-    return F.format_string("col1_%s_%s_%s_rnn_lstm_ckpt", country, version, region)
+    return F.format_string(MODEL_FORMAT, country, version, region)
 
 
 def run_stamp(at: Column) -> Column:
@@ -128,6 +131,25 @@ def parse_years(text: str) -> list[int]:
     return years
 
 
-def tick_label(ha: float) -> str:
+def tick_label(ha: Column) -> Column:
     """Hectares on an axis: grouped from 1000, whole from 1, else as short as can be."""
-    return f"{ha:,.0f}" if ha >= 1000 else f"{ha:.0f}" if ha >= 1 else f"{ha:g}"
+    whole = F.bround(ha, 0).cast("long")
+    short = F.regexp_replace(F.regexp_replace(F.format_string("%.6f", ha), "0+$", ""), r"\.$", "")
+    return F.when(ha >= 1000, F.format_number(whole, 0)).when(ha >= 1, whole.cast("string")).otherwise(short)
+
+
+def legacy_model(name: Column) -> Column:
+    """``country, version, region`` of an older model's name, its second to fourth parts; null with fewer than four."""
+    part = F.split(name, "_")
+    return F.when(F.size(part) >= 4, F.struct(part[1].alias("country"), part[2].alias("version"), part[3].alias("region")))
+
+
+def legacy_mosaic(name: Column) -> Column:
+    """``satellite, year`` of an older mosaic's name, its first and fourth parts; null with fewer than four."""
+    part = F.split(name, "_")
+    return F.when(F.size(part) >= 4, F.struct(part[0].alias("satellite"), part[3].cast("int").alias("year")))
+
+
+def first_only(rows: DataFrame, order: list[str], simulate: bool) -> DataFrame:
+    """All rows, or for a simulation the first in order."""
+    return rows.orderBy(*order).limit(1) if simulate else rows

@@ -61,14 +61,39 @@ def read_threshold(spark, path: str, rule: str = "area_cap") -> float:
     return threshold(None, row["value"] if row else "{}", rule)
 
 
+def with_threshold(layer: DataFrame, ha: float) -> DataFrame:
+    """Features (source_file, area_m2) of ``ha`` hectares at least, with ``area_ha`` and the threshold that was used."""
+    return at_least(layer.withColumn("area_ha", to_hectares(F.col("area_m2"))), ha).withColumn("threshold_ha_used", F.lit(float(ha)))
+
+
+def any_set(cells: DataFrame, value: str = "v") -> bool:
+    """Whether any cell is set: the scan ends at the first."""
+    return not cells.where(F.col(value) != 0).isEmpty()
+
+
 def kept_by_file(layer: DataFrame, ha: float) -> DataFrame:
     """``source_file, total, kept`` for each file, and for all of them (source_file null), in one pass."""
     return layer.rollup("source_file").agg(F.count("*").alias("total"), F.count_if((F.col("area_ha") >= ha) & ~F.isnan("area_ha")).alias("kept"))
 
 
 def stats(layer: DataFrame, column: str = "area_ha") -> DataFrame:
-    """Count, least, exact median, mean and largest; an error without rows."""
-    return layer.agg(F.count("*").alias("n"), F.min(column).alias("least"), F.percentile(column, F.lit(0.5)).alias("median"), F.avg(column).alias("mean"), F.max(column).alias("most"))
+    """Count, least, exact median, mean and largest; without rows, a count of 0 and nulls.
+
+    The median is found by rank: values are range-partitioned and sorted, and only the one or two middle rows of the partition
+    that holds them are picked out, so no task gathers all values.
+    """
+    from cinderspark.sources.tables import written
+
+    x = F.col(column).cast("double")
+    kept = written(layer.select(x.alias("x")).where("x is not null").repartitionByRange("x").sortWithinPartitions("x").withColumn("at", F.monotonically_increasing_id()), "ranks")
+    total = kept.agg(F.count("*").alias("n"), F.min("x").alias("least"), F.avg("x").alias("mean"), F.max("x").alias("most"))
+    sizes = kept.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
+    n, before, middle = sum(r["n"] for r in sizes), 0, []
+    for r in sizes:
+        middle += [(r["p"] << 33) + i - before for i in {(n - 1) // 2, n // 2} if before <= i < before + r["n"]]
+        before += r["n"]
+    median = kept.where(F.col("at").isin(middle)).agg(F.avg("x").alias("median"))
+    return total.crossJoin(F.broadcast(median)).select("n", "least", "median", "mean", "most")
 
 
 def log_edges(low: float, high: float, n: int) -> list[float]:

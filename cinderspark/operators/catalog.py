@@ -42,6 +42,13 @@ def missing(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame
     return wanted.join(present.select(*keys), keys, "left_anti")
 
 
+def job_rows(lines: DataFrame) -> DataFrame:
+    """``model_name, mosaic_name`` of all lines (line): blanks and carriage returns cut, more columns ignored, lines without both left out."""
+    fields = F.split(F.regexp_replace("line", "\r", ""), ",")
+    name = lambda i: F.trim(F.try_element_at(fields, F.lit(i)))
+    return lines.select(name(1).alias("model_name"), name(2).alias("mosaic_name")).where("model_name <> '' and mosaic_name <> ''")
+
+
 def job_row(lines: DataFrame, task: int, has_header: bool = False) -> DataFrame:
     """``model_name, mosaic_name`` of a task's line (i from 0, line): blanks and carriage returns cut, more columns ignored."""
     fields = F.split(F.regexp_replace("line", "\r", ""), ",")

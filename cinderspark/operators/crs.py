@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,12 +71,59 @@ def albers(lon: np.ndarray, lat: np.ndarray, lat_1: float = ALBERS["lat_1"], lat
     return rho * np.sin(theta), rho0 - rho * np.cos(theta)
 
 
-#: Coordinate systems that layers may be brought to, from degrees.
-TARGETS = {"EPSG:32719": utm, "EPSG:32718": lambda lon, lat: utm(lon, lat, 18), "equal-area": albers}
+def mercator(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Degrees to metres of the spherical web projection."""
+    return AXIS * np.radians(lon), AXIS * np.log(np.tan(np.pi / 4 + np.radians(lat) / 2))
+
+
+def mercator_inverse(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.degrees(np.asarray(x) / AXIS), np.degrees(2 * np.arctan(np.exp(np.asarray(y) / AXIS)) - np.pi / 2)
+
+
+def albers_inverse(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Metres of the equal-area preset back to degrees, by Newton steps on :func:`albers`."""
+    lon, lat = ALBERS["lon_0"] + np.asarray(x) / 90_000.0, ALBERS["lat_0"] + np.asarray(y) / 111_000.0
+    h = 1e-6
+    for _ in range(20):
+        fx, fy = albers(lon, lat)
+        ax, ay = albers(lon + h, lat)
+        bx, by = albers(lon, lat + h)
+        j = np.array([[(ax - fx) / h, (bx - fx) / h], [(ay - fy) / h, (by - fy) / h]])
+        det = j[0, 0] * j[1, 1] - j[0, 1] * j[1, 0]
+        dx, dy = x - fx, y - fy
+        lon, lat = lon + (j[1, 1] * dx - j[0, 1] * dy) / det, lat + (j[0, 0] * dy - j[1, 0] * dx) / det
+    return lon, lat
+
+
+def system(crs: str | None) -> tuple:
+    """From degrees and back to degrees in a coordinate system: WGS 84, any of its UTM zones, web Mercator, or the equal-area preset."""
+    if crs == "EPSG:4326":
+        return (lambda lon, lat: (lon, lat)), (lambda x, y: (x, y))
+    if crs == "EPSG:3857":
+        return mercator, mercator_inverse
+    if crs == "equal-area":
+        return albers, albers_inverse
+    zone = re.fullmatch(r"EPSG:32([67])(\d\d)", crs or "")
+    if zone and 1 <= int(zone[2]) <= 60:
+        south, n = zone[1] == "7", int(zone[2])
+        return (lambda lon, lat: utm(lon, lat, n, south)), (lambda x, y: utm_inverse(x, y, n, south))
+    raise DataContractError(f"no way to or from {crs}")
 
 
 def is_projected(crs: str | None) -> bool:
-    return crs in TARGETS
+    if not crs or crs == "EPSG:4326":
+        return False
+    try:
+        return bool(system(crs))
+    except DataContractError:
+        return False
+
+
+def transform(x: np.ndarray, y: np.ndarray, source: str, target: str) -> tuple[np.ndarray, np.ndarray]:
+    """Points from one system to another, x before y always."""
+    if source == target:
+        return x, y
+    return system(target)[0](*system(source)[1](x, y))
 
 
 def reproject(layer: DataFrame, target: str = "EPSG:32719", source: str | None = "EPSG:4326", geom: str = "geom") -> DataFrame:
@@ -84,18 +132,17 @@ def reproject(layer: DataFrame, target: str = "EPSG:32719", source: str | None =
         raise DataContractError("the layer has no coordinate system")
     if source == target:
         return layer
-    if target not in TARGETS or source not in ("EPSG:4326", "EPSG:32719"):
-        raise DataContractError(f"no way from {source} to {target}")
-    to = TARGETS[target]
+    system(source), system(target)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            out = []
-            for g in pdf[geom]:
-                polygons = from_wkb(g)
-                degrees = (lambda r: utm_inverse(r[:, 0], r[:, 1])) if source == "EPSG:32719" else (lambda r: (r[:, 0], r[:, 1]))
-                out.append(None if g is None else to_wkb([[np.stack(to(*degrees(r)), 1) for r in p] for p in polygons]))
-            yield pdf.assign(**{geom: out})
+            found = [from_wkb(g) for g in pdf[geom]]
+            rings = [r for polygons in found for p in polygons for r in p]
+            if rings:  # all vertices of a batch at once
+                xy = np.concatenate(rings)
+                moved = iter(np.split(np.stack(transform(xy[:, 0], xy[:, 1], source, target), 1), np.cumsum([len(r) for r in rings])[:-1]))
+                found = [[[next(moved) for _ in p] for p in polygons] for polygons in found]
+            yield pdf.assign(**{geom: [None if g is None else to_wkb(polygons) for g, polygons in zip(pdf[geom], found, strict=True)]})
 
     return layer.mapInPandas(run, layer.schema)
 

@@ -279,4 +279,5 @@ def clip_cells(cells: DataFrame, geom: bytes, transform: tuple[float, ...], buff
             reach = np.zeros(len(pdf), bool) if box is None else ((points >= np.array(box[:2]) - buffer) & (points <= np.array(box[2:]) + buffer)).all(1)
             yield pdf.assign(v=np.where(inside, pdf["v"], np.nan))[reach]
 
-    return cells.mapInPandas(run, cells.schema)
+    # (what is NaN in pandas comes back as null)
+    return cells.mapInPandas(run, cells.schema).withColumn("v", F.coalesce("v", F.lit(float("nan"))))

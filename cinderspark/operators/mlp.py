@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,8 +197,11 @@ def initial_layers(inputs: int, rng: np.random.Generator, widths: tuple[int, ...
     return layers
 
 
-def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 0, steps: int = STEPS, batch: int = BATCH, rate: float = RATE) -> tuple[Network, float]:
-    """Adam on the mean softmax cross-entropy of shuffled batches; the first 70 % train, the rest gives the accuracy returned."""
+def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 0, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, save: Callable[[int, Network], None] | None = None, every: int = 100) -> tuple[Network, float]:
+    """Adam on the mean softmax cross-entropy of shuffled batches; the first 70 % train, the rest gives the accuracy returned.
+
+    ``save`` is called with every hundredth state, the first (before any step) and the last.
+    """
     ok = ~np.isnan(x).any(1)
     x, y = x[ok], y[ok].astype(int)
     if not len(x):
@@ -214,6 +218,8 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 0, steps: int = STEPS,
     z = (x - net.mean) / net.std
     state = [[np.zeros_like(p) for p in layer] + [np.zeros_like(p) for p in layer] for layer in net.layers]
     for t in range(1, steps + 1):
+        if save and (t - 1) % every == 0:
+            save(t - 1, net)
         pick = rng.choice(cut, min(batch, cut), replace=False)
         acts = [z[pick]]
         for i, (w, b) in enumerate(net.layers):
@@ -232,19 +238,35 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 0, steps: int = STEPS,
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net.layers[i][j][...] -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    if save:
+        save(steps, net)
     right = net.run(x[cut:]).argmax(1) == y[cut:]
     return net, float(right.mean())
 
 
-def train_models(samples: DataFrame, keys: list[str], bands: str = "b", label: str = "landcover", steps: int = STEPS, seed: int = 0) -> DataFrame:
+def train_models(samples: DataFrame, keys: list[str], bands: str = "b", label: str = "landcover", steps: int = STEPS, seed: int = 0, checkpoints: str | None = None) -> DataFrame:
     """One network for each key: ``keys..., model string (JSON), n, accuracy``; a task trains one model.
 
-    A model's samples must fit one task: they are what one network is trained on in memory by design.
+    A model's samples must fit one task: they are what one network is trained on in memory by design. ``checkpoints``: a
+    folder, reached from every executor, that gets the state of every hundredth step as ``<keys>-<step>.json``.
     """
+    if checkpoints:
+        from cinderspark.sources.tables import qualified
+
+        checkpoints = qualified(samples.sparkSession, checkpoints)
+
+    def stored(net: Network) -> str:
+        return json.dumps({"mean": net.mean.tolist(), "std": net.std.tolist(), "layers": [[w.tolist(), b.tolist()] for w, b in net.layers]})
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        net, acc = fit_network(np.stack(pdf[bands]).astype(float), pdf[label].to_numpy(), seed, steps)
-        text = json.dumps({"mean": net.mean.tolist(), "std": net.std.tolist(), "layers": [[w.tolist(), b.tolist()] for w, b in net.layers]})
+        def save(step: int, net: Network) -> None:
+            system, at = fs.FileSystem.from_uri(checkpoints)
+            system.create_dir(at, recursive=True)
+            with system.open_output_stream(f"{at}/{'-'.join(map(str, key))}-{step:05d}.json") as out:
+                out.write(stored(net).encode())
+
+        net, acc = fit_network(np.stack(pdf[bands]).astype(float), pdf[label].to_numpy(), seed, steps, save=save if checkpoints else None)
+        text = stored(net)
         return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "model": [text], "n": [len(pdf)], "accuracy": [acc]})
 
     kinds = dict(samples.dtypes)

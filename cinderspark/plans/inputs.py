@@ -54,8 +54,13 @@ def burnt(spark: SparkSession, sf_dir: str, grid: int = GRID) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pixel samples: id, b array<double> of 8 bands, landcover 0 or 1."""
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.slice("embedding", 1, 8).cast("array<double>").alias("b"), (F.col("label") % 2).cast("int").alias("landcover"))
+    """Pixel samples: id, b array<double> of 8 bands, landcover 0 or 1; eight pixels of each vector's 64 numbers."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    return vectors.select((F.col("vec_id") * 8 + F.col("j")).alias("id"), F.slice("embedding", F.col("j") * 8 + 1, F.lit(8)).cast("array<double>").alias("b"), (F.col("label") % 2).cast("int").alias("landcover"))
+
+
+#: The same pixels in SQL, under the names of the table.
+CTE["pixels"] = "pixels AS (SELECT vec_id * 8 + j AS vec_id, label, embedding[j * 8 + 1 : j * 8 + 8] AS embedding FROM embeddings, range(0, 8) t(j))"
 
 
 def scars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,5 +109,39 @@ CTE["dates"] = """dates AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 =
   WHEN o_orderkey % 4 = 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE 'about ' || strftime(o_orderdate, '%Y') END AS d FROM orders)"""
 
 
+def readable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date texts of all orders that begin with a year: ISO, with slashes, with a time, and with a season."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    text = F.when(k % 4 == 0, F.date_format(d, "yyyy-MM-dd")).when(k % 4 == 1, F.date_format(d, "yyyy/MM/dd")).when(k % 4 == 2, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).otherwise(F.concat(F.date_format(d, "yyyy"), F.lit(" spring")))
+    return table(spark, sf_dir, "orders").select(k.alias("id"), text.alias("d"))
+
+
+CTE["readable"] = CTE["dates"].replace("dates AS", "readable AS", 1).replace("'about ' || strftime(o_orderdate, '%Y')", "strftime(o_orderdate, '%Y') || ' spring'")
+
+
+def boxes(layer: DataFrame) -> DataFrame:
+    """``layer`` with the rectangle of its box columns as ``geom``."""
+    from cinderspark.operators.geometry import rectangle, to_wkb
+
+    def run(frames):
+        for pdf in frames:
+            yield pdf.assign(geom=[to_wkb(rectangle(*b)) for b in zip(pdf["minx"], pdf["miny"], pdf["maxx"], pdf["maxy"], strict=True)])
+
+    return layer.mapInPandas(run, ", ".join([*(f"`{n}` {k}" for n, k in layer.dtypes), "geom binary"]))
+
+
+def triangles(layer: DataFrame) -> DataFrame:
+    """``layer`` with, as ``geom``, the triangle of its box's lower left, lower right and upper left corners."""
+    import numpy as np
+
+    from cinderspark.operators.geometry import to_wkb
+
+    def run(frames):
+        for pdf in frames:
+            yield pdf.assign(geom=[to_wkb([[np.array([[a, b], [c, b], [a, d], [a, b]], float)]]) for a, b, c, d in zip(pdf["minx"], pdf["miny"], pdf["maxx"], pdf["maxy"], strict=True)])
+
+    return layer.mapInPandas(run, ", ".join([*(f"`{n}` {k}" for n, k in layer.dtypes), "geom binary"]))
+
+
 def with_(*names: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(CTE[n] for n in names) + "\n"

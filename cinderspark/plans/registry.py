@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from cinderspark.functions import naming as N
 from cinderspark.operators import areas as A
 from cinderspark.operators import components as C
+from cinderspark.operators import crs as R
+from cinderspark.operators import geometry as G
 from cinderspark.operators import masks as M
 from cinderspark.operators import mlp as P
 from cinderspark.operators import morphology as X
@@ -74,9 +76,9 @@ def _(spark, d):
 
 
 @query("regrid_nearest", with_("lulc", "cls") + f"""SELECT {big('k.y', 'k.r', 'k.c', 'v').replace('AS k.', 'AS ')}, CAST(m.y IS NOT NULL AS BIGINT) AS masked
-  FROM cls k LEFT JOIN (SELECT DISTINCT y, r, c FROM lulc WHERE cls IN (33, 24) AND r < 32 AND c < 32) m ON m.y = k.y AND m.r = floor((k.r + 0.5) / 2) AND m.c = floor((k.c + 0.5) / 2)""")
+  FROM cls k LEFT JOIN (SELECT DISTINCT y, r // 2 AS r, c // 2 AS c FROM lulc WHERE cls IN (33, 24)) m ON m.y = k.y AND m.r = floor((k.r + 0.5) / 2) AND m.c = floor((k.c + 0.5) / 2)""")
 def _(spark, d):
-    mask = M.yearly_one_hot(I.cover(spark, d)).where("r < 32 and c < 32")
+    mask = M.yearly_one_hot(I.cover(spark, d)).select("y", F.floor(F.col("r") / 2).alias("r"), F.floor(F.col("c") / 2).alias("c")).distinct()
     return longs(M.regrid(I.classified(spark, d), mask, 2.0).select("y", "r", "c", "v", F.col("masked").cast("int").alias("masked")))
 
 
@@ -140,7 +142,10 @@ def _(spark, d):
     return longs(P.vectorise(tiles).select("raster_id", "r", "c", F.col("bands")[0].cast("double").alias("v")))
 
 
-@query("band_select", f"SELECT vec_id AS id, b[2] AS b1, b[5] AS b4, b[8] AS b7 FROM (SELECT vec_id, {_BANDS} AS b FROM embeddings)")
+_PX = with_("pixels")
+
+
+@query("band_select", _PX + f"SELECT vec_id AS id, b[2] AS b1, b[5] AS b4, b[8] AS b7 FROM (SELECT vec_id, {_BANDS} AS b FROM pixels)")
 def _(spark, d):
     x = I.samples(spark, d).withColumn("s", P.select_bands(F.col("b"), [1, 4, 7]))
     return x.select("id", F.col("s")[0].alias("b1"), F.col("s")[1].alias("b4"), F.col("s")[2].alias("b7"))
@@ -156,29 +161,29 @@ def _holed(spark, d):
     return x.withColumn("b", F.transform("b", lambda v, i: F.when((F.col("id") % 9 == 0) | ((F.col("id") % 3 == 0) & (i == 0)), nan).otherwise(v)))
 
 
-@query("nan_to_zero", f"SELECT vec_id AS id, CASE WHEN vec_id % 3 = 0 THEN 0 ELSE b[1] END AS b0, CASE WHEN vec_id % 9 = 0 THEN 0 ELSE b[2] END AS b1 FROM (SELECT vec_id, {_BANDS} AS b FROM embeddings)")
+@query("nan_to_zero", _PX + f"SELECT vec_id AS id, CASE WHEN vec_id % 3 = 0 THEN 0 ELSE b[1] END AS b0, CASE WHEN vec_id % 9 = 0 THEN 0 ELSE b[2] END AS b1 FROM (SELECT vec_id, {_BANDS} AS b FROM pixels)")
 def _(spark, d):
     x = _holed(spark, d).withColumn("b", P.nan_to_number(F.col("b")))
     return x.select("id", F.col("b")[0].alias("b0"), F.col("b")[1].alias("b1"))
 
 
-@query("standardize", f"SELECT vec_id AS id, round((b[1] - 0.25::DOUBLE) / 2::DOUBLE, 9) AS z0, round((b[2] + 1::DOUBLE) / 1::DOUBLE, 9) AS z1 FROM (SELECT vec_id, {_BANDS} AS b FROM embeddings)")
+@query("standardize", _PX + f"SELECT vec_id AS id, round((b[1] - 0.25::DOUBLE) / 2::DOUBLE, 9) AS z0, round((b[2] + 1::DOUBLE) / 1::DOUBLE, 9) AS z1 FROM (SELECT vec_id, {_BANDS} AS b FROM pixels)")
 def _(spark, d):
     x = I.samples(spark, d).withColumn("z", P.standardise(F.slice("b", 1, 2), [0.25, -1.0], [2.0, 0.0]))
     return x.select("id", F.round(F.col("z")[0], 9).alias("z0"), F.round(F.col("z")[1], 9).alias("z1"))
 
 
-@query("valid_any", "SELECT vec_id AS id FROM embeddings WHERE vec_id % 9 <> 0")
+@query("valid_any", _PX + "SELECT vec_id AS id FROM pixels WHERE vec_id % 9 <> 0")
 def _(spark, d):
     return _holed(spark, d).where(P.any_valid(F.col("b"))).select("id")
 
 
-@query("valid_all", "SELECT vec_id AS id FROM embeddings WHERE vec_id % 3 <> 0")
+@query("valid_all", _PX + "SELECT vec_id AS id FROM pixels WHERE vec_id % 3 <> 0")
 def _(spark, d):
     return _holed(spark, d).where(P.all_valid(F.col("b"))).select("id")
 
 
-_SPLIT = "SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id * 7919 % 10007, vec_id) <= floor((SELECT count(*) FROM embeddings) * 0.7::DOUBLE) AS train FROM embeddings"
+_SPLIT = "SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id * 7919 % 10007, vec_id) <= floor((SELECT count(*) FROM pixels) * 0.7::DOUBLE) AS train FROM pixels"
 
 
 def _split(spark, d):
@@ -186,13 +191,13 @@ def _split(spark, d):
     return P.split_rank(x, [F.col("id") * 7919 % 10007, F.col("id")])
 
 
-@query("train_split", f"SELECT id, CAST(train AS BIGINT) AS train FROM ({_SPLIT})")
+@query("train_split", _PX + f"SELECT id, CAST(train AS BIGINT) AS train FROM ({_SPLIT})")
 def _(spark, d):
     return _split(spark, d).select("id", F.col("train").cast("long").alias("train"))
 
 
-@query("band_stats", f"""WITH s AS ({_SPLIT}) SELECT CAST(band - 1 AS BIGINT) AS band, round(avg(CAST(embedding[band] AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST(embedding[band] AS DOUBLE)), 6) AS std
-  FROM embeddings JOIN s ON s.id = vec_id, range(1, 9) t(band) WHERE train GROUP BY 1""")
+@query("band_stats", f"""WITH {I.CTE['pixels']}, s AS ({_SPLIT}) SELECT CAST(band - 1 AS BIGINT) AS band, round(avg(CAST(embedding[band] AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST(embedding[band] AS DOUBLE)), 6) AS std
+  FROM pixels JOIN s ON s.id = vec_id, range(1, 9) t(band) WHERE train GROUP BY 1""")
 def _(spark, d):
     return longs(P.band_stats(_split(spark, d).where("train")).select("band", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std")))
 
@@ -201,7 +206,7 @@ def _(spark, d):
 LAYERS = [([[(i * 3 + j * 5) % 7 - 3 for j in range(3)] for i in range(8)], [1, 0, -1]), ([[1, -1], [2, 1], [-1, 2]], [0, 1])]
 _ROUNDED = "list_transform(embedding[1:8], lambda x: round(CAST(x AS DOUBLE) * 100))"
 _H = [" + ".join([f"{b}", *(f"({LAYERS[0][0][i][j]}) * b[{i + 1}]" for i in range(8))]) for j, b in enumerate(LAYERS[0][1])]
-_NET = f"""x AS (SELECT vec_id, label, {_ROUNDED} AS b FROM embeddings), h AS (SELECT vec_id, label, {', '.join(f'greatest({e}, 0::DOUBLE) AS h{j}' for j, e in enumerate(_H))} FROM x),
+_NET = f"""{I.CTE['pixels']}, x AS (SELECT vec_id, label, {_ROUNDED} AS b FROM pixels), h AS (SELECT vec_id, label, {', '.join(f'greatest({e}, 0::DOUBLE) AS h{j}' for j, e in enumerate(_H))} FROM x),
 z AS (SELECT vec_id, label, 0 + h0 + 2 * h1 - h2 AS z0, 1 - h0 + h1 + 2 * h2 AS z1 FROM h)"""
 
 
@@ -258,7 +263,7 @@ def _(spark, d):
     return I.stems(spark, d).select("id", N.part_of_stem(F.col("stem"), 2).alias("region"), N.part_of_stem(F.col("stem"), 3).alias("year"))
 
 
-_ID = r"_v(\d+)_.*?_r(\d+)(?:_[^_]+)*?_(\d{4})"
+_ID = N.SAMPLE_PATTERN
 
 
 @query("sample_model_id", with_("stems") + f"SELECT DISTINCT 'v' || regexp_extract(stem, '{_ID}', 1) || '_r' || regexp_extract(stem, '{_ID}', 2) AS model FROM stems WHERE regexp_matches(stem, '{_ID}')")
@@ -279,14 +284,14 @@ def _(spark, d):
     return out.unionByName(stem.select(N.mask_name(F.col("stem"), F.lit(1.5)).alias("name"))).unionByName(stem.select(N.filtered_name(F.col("stem"), F.lit("20250101_000000")).alias("name")))
 
 
-@query("date_year_prefix", with_("dates") + "SELECT id, CAST(substr(d, 1, 4) AS BIGINT) AS year FROM dates WHERE id % 4 <> 3")
+@query("date_year_prefix", with_("readable") + "SELECT id, CAST(substr(d, 1, 4) AS BIGINT) AS year FROM readable")
 def _(spark, d):
-    return longs(I.dates(spark, d).where("id % 4 <> 3").select("id", N.prefix_year(F.col("d")).alias("year")))
+    return longs(I.readable_dates(spark, d).select("id", N.prefix_year(F.col("d")).alias("year")))
 
 
-@query("date_year_iso", with_("dates") + "SELECT id, CAST(coalesce(year(try_cast(substr(d, 1, 10) AS DATE)), CAST(substr(d, 1, 4) AS BIGINT)) AS BIGINT) AS year FROM dates WHERE id % 4 <> 3")
+@query("date_year_iso", with_("readable") + "SELECT id, CAST(coalesce(year(try_cast(substr(d, 1, 10) AS DATE)), CAST(substr(d, 1, 4) AS BIGINT)) AS BIGINT) AS year FROM readable")
 def _(spark, d):
-    return longs(I.dates(spark, d).where("id % 4 <> 3").select("id", N.iso_or_prefix_year(F.col("d")).alias("year")))
+    return longs(I.readable_dates(spark, d).select("id", N.iso_or_prefix_year(F.col("d")).alias("year")))
 
 
 @query("date_year_coerce", with_("dates") + "SELECT id, CAST(substr(d, 1, 4) AS BIGINT) AS year FROM dates WHERE d NOT LIKE 'about%' AND CAST(substr(d, 1, 4) AS BIGINT) IN (1996, 1998, 2000) AND CAST(substr(d, 1, 4) AS BIGINT) >= 1997")
@@ -386,11 +391,57 @@ def _(spark, d):
     return V.envelope(V.exclude_region(I.regions(spark, d), "4"))
 
 
-@query("reproject_delta", with_("polys") + """SELECT sum((maxx - minx) * (maxy - miny))::BIGINT AS before, sum((maxx - minx) * (maxy - miny) * 2)::BIGINT AS after, 100.0::DOUBLE AS delta_pct FROM polys""")
+def _utm_sql(lon: str, lat: str) -> tuple[str, str]:
+    """x and y of zone 19 south, for degrees, in SQL: the same published series as in the library."""
+    phi, lam, e2 = f"radians({lat})", f"radians({lon} + 69)", repr(R.E2)
+    n, t, c, a = f"({R.AXIS!r} / sqrt(1 - {e2} * pow(sin({phi}), 2)))", f"pow(tan({phi}), 2)", f"({R.E2 / (1 - R.E2)!r} * pow(cos({phi}), 2))", f"({lam} * cos({phi}))"
+    e4, e6, ep2 = R.E2**2, R.E2**3, R.E2 / (1 - R.E2)
+    arc = f"({R.AXIS!r} * ({1 - R.E2 / 4 - 3 * e4 / 64 - 5 * e6 / 256!r} * {phi} - {3 * R.E2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024!r} * sin(2 * {phi}) + {15 * e4 / 256 + 45 * e6 / 1024!r} * sin(4 * {phi}) - {35 * e6 / 3072!r} * sin(6 * {phi})))"
+    x = f"0.9996::DOUBLE * {n} * ({a} + (1 - {t} + {c}) * pow({a}, 3) / 6 + (5 - 18 * {t} + {t} * {t} + 72 * {c} - {58 * ep2!r}) * pow({a}, 5) / 120)"
+    y = f"0.9996::DOUBLE * ({arc} + {n} * tan({phi}) * ({a} * {a} / 2 + (5 - {t} + 9 * {c} + 4 * {c} * {c}) * pow({a}, 4) / 24 + (61 - 58 * {t} + {t} * {t} + 600 * {c} - {330 * ep2!r}) * pow({a}, 6) / 720))"
+    return x, y
+
+
+def _albers_sql(lon: str, lat: str) -> tuple[str, str]:
+    """x and y of the equal-area preset, for degrees, in SQL."""
+    import numpy as np
+
+    e, p = np.sqrt(R.E2), {k: float(v) for k, v in R.ALBERS.items()}
+    q = lambda s: (1 - R.E2) * (s / (1 - R.E2 * s * s) - np.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    m = lambda f: np.cos(f) / np.sqrt(1 - R.E2 * np.sin(f) ** 2)
+    a, b, o = np.radians([p["lat_1"], p["lat_2"], p["lat_0"]])
+    n = float((m(a) ** 2 - m(b) ** 2) / (q(np.sin(b)) - q(np.sin(a))))
+    c = float(m(a) ** 2 + n * q(np.sin(a)))
+    rho0 = float(R.AXIS * np.sqrt(c - n * q(np.sin(o))) / n)
+    s = f"sin(radians({lat}))"
+    qs = f"({1 - R.E2!r} * ({s} / (1 - {R.E2!r} * {s} * {s}) - ln((1 - {float(e)!r} * {s}) / (1 + {float(e)!r} * {s})) / {float(2 * e)!r}))"
+    rho, theta = f"({R.AXIS!r} * sqrt({c!r} - {n!r} * {qs}) / {n!r})", f"({n!r} * radians({lon} - {p['lon_0']!r}))"
+    return f"{rho} * sin({theta})", f"{rho0!r} - {rho} * cos({theta})"
+
+
+def _ring_sql(xy) -> str:
+    """The area of a box of degrees (a, b, c, d) in another system: the shoelace sum of its four corners."""
+    corners = [xy(*p) for p in (("a", "b"), ("c", "b"), ("c", "d"), ("a", "d"))]
+    terms = [f"({corners[i][0]}) * ({corners[(i + 1) % 4][1]}) - ({corners[(i + 1) % 4][0]}) * ({corners[i][1]})" for i in range(4)]
+    return f"abs({' + '.join(terms)}) / 2"
+
+
+_DEGREES = "deg AS (SELECT id, -74.0::DOUBLE + minx / 125.0::DOUBLE AS a, -54.0::DOUBLE + miny / 30.0::DOUBLE AS b, -74.0::DOUBLE + maxx / 125.0::DOUBLE AS c, -54.0::DOUBLE + maxy / 30.0::DOUBLE AS d FROM polys)"
+
+
+def _degrees(spark, d):
+    """The polygons' boxes as degrees."""
+    x, y = (lambda c: F.lit(-74.0) + F.col(c) / 125.0), (lambda c: F.lit(-54.0) + F.col(c) / 30.0)
+    return I.boxes(I.polys(spark, d).select("id", x("minx").alias("minx"), y("miny").alias("miny"), x("maxx").alias("maxx"), y("maxy").alias("maxy"))).select("id", "geom")
+
+
+@query("reproject_delta", with_("polys") + f""", {_DEGREES}, m AS (SELECT {_ring_sql(_utm_sql)} AS u, {_ring_sql(_albers_sql)} AS e FROM deg)
+SELECT round(sum(u) / 1e9, 3) AS before, round(sum(e) / 1e9, 3) AS after, round((sum(e) - sum(u)) * 100 / sum(u), 5) AS delta_pct FROM m""")
 def _(spark, d):
-    a = (F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))
-    out = I.polys(spark, d).agg(*A.area_change(a, a * 2))
-    return out.select("before", "after", F.col("delta_pct").cast("double").alias("delta_pct"))
+    own = R.reproject(_degrees(spark, d), "EPSG:32719")
+    both = G.measured(own).select("id", "geom", F.col("area_m2").alias("u"))
+    out = G.measured(R.reproject(both, "equal-area", "EPSG:32719")).agg(*A.area_change(F.col("u"), F.col("area_m2")))
+    return out.select(F.round(F.col("before") / 1e9, 3).alias("before"), F.round(F.col("after") / 1e9, 3).alias("after"), F.round("delta_pct", 5).alias("delta_pct"))
 
 
 @query("dissolve_multipart", with_("scars") + "SELECT CAST(year AS BIGINT) AS year, count(*) AS n_parts, CAST(sum((maxx - minx) * (maxy - miny)) AS BIGINT) AS area FROM scars WHERE year BETWEEN 1996 AND 2000 AND year IN (1996, 1998, 1999) GROUP BY 1")
@@ -403,24 +454,29 @@ def _(spark, d):
     return V.overlapping(I.polys(spark, d), 100, 50, 500, 400).select("id")
 
 
-@query("components_area", with_("burnt") + """, b AS (SELECT r, c, r * 64 + c AS k FROM burnt WHERE y = 1996), e AS (SELECT a.k AS a, z.k AS z FROM b a JOIN b z ON abs(a.r - z.r) <= 1 AND abs(a.c - z.c) <= 1),
-w AS (SELECT k, k AS m FROM b UNION SELECT e.z, w.m FROM w JOIN e ON e.a = w.k WHERE w.m <= e.z)
-SELECT CAST(1996 AS BIGINT) AS y, CAST(1996 * 4096 + m AS BIGINT) AS component, count(*) AS cells FROM (SELECT k, min(m) AS m FROM w GROUP BY k) GROUP BY m""")
-def _(spark, d):
-    cells = I.burnt(spark, d).where("y = 1996")
-    return longs(C.component_areas(C.components(cells, 64, 64, tile=16)).select("y", "component", "cells"))
+def _components_sql(near: str) -> str:
+    """Smallest cell number that each burnt cell leads to, in all years: labels fall until none does."""
+    return f""", b AS (SELECT y, r, c, (y * 64 + r) * 64 + c AS k FROM burnt), e AS (SELECT a.k AS a, z.k AS z FROM b a JOIN b z ON a.y = z.y AND {near} AND a.k <> z.k),
+w(k, m) USING KEY (k) AS (SELECT k, k FROM b UNION SELECT e.z, min(w.m) FROM w JOIN e ON e.a = w.k JOIN recurring.w o ON o.k = e.z WHERE w.m < o.m GROUP BY e.z)
+SELECT CAST(m // 4096 AS BIGINT) AS y, CAST(m AS BIGINT) AS component, count(*) AS cells"""
+
 
+_NEAR8, _NEAR4 = "abs(a.r - z.r) <= 1 AND abs(a.c - z.c) <= 1", "abs(a.r - z.r) + abs(a.c - z.c) <= 1"
 
-@query("components_area_years")
+
+@query("components_area", with_("burnt") + _components_sql(_NEAR8) + " FROM w GROUP BY m")
 def _(spark, d):
     return longs(C.component_areas(C.components(I.burnt(spark, d), 64, 64, tile=16)).select("y", "component", "cells"))
 
 
-@query("outline_trace")
+@query("components4_area", with_("burnt") + _components_sql(_NEAR4) + " FROM w GROUP BY m")
 def _(spark, d):
-    from cinderspark.operators.geometry import measured
+    return longs(C.component_areas(C.components(I.burnt(spark, d), 64, 64, 4, tile=16)).select("y", "component", "cells"))
+
 
-    return measured(C.outlines(C.components(I.burnt(spark, d), 64, 64, tile=16))).select("y", "component", "cells", F.round("area_m2", 6).alias("area"))
+@query("outline_trace", with_("burnt") + _components_sql(_NEAR8) + ", CAST(count(*) AS DOUBLE) AS area FROM w GROUP BY m")
+def _(spark, d):
+    return longs(G.measured(C.outlines(C.components(I.burnt(spark, d), 64, 64, tile=16))).select("y", "component", "cells", F.round("area_m2", 6).alias("area")))
 
 
 # --- catalogues -----------------------------------------------------------------------------------------------------------
@@ -480,11 +536,14 @@ def _(spark, d):
     return job_row(lines.withColumn("i", F.col("i") - first), 4)
 
 
-@query("geotiff_roundtrip")
+@query("geotiff_roundtrip", with_("cls") + "SELECT 'y' || CAST(y AS VARCHAR) AS raster_id, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, CAST(v AS BIGINT) AS v FROM cls WHERE v <> 0")
 def _(spark, d):
     from cinderspark.sources import geotiff, tables
 
     path = tables.new_path(spark, "tiff")
     cells = I.classified(spark, d).select(F.concat(F.lit("y"), F.col("y").cast("string")).alias("raster_id"), "r", "c", F.col("v").cast("double").alias("v"))
     geotiff.write(cells, path, 64, 64)
-    return geotiff.cells(geotiff.read(spark, path)).where("v <> 0").select("raster_id", "r", "c", F.col("v").cast("long").alias("v"))
+    return longs(geotiff.cells(geotiff.read(spark, path)).where("v <> 0").select("raster_id", "r", "c", F.col("v").cast("long").alias("v")))
+
+
+from cinderspark.plans import more as _more  # noqa: E402, F401  (its queries register themselves here)

@@ -1,4 +1,4 @@
-"""GeoTIFF files as tiles, by their published format: strips or tiles, Deflate or none, with or without a predictor."""
+"""GeoTIFF files as tiles, by their published format: strips or tiles; Deflate, LZW, Zstandard or none; either predictor."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from xml.sax.saxutils import escape, unescape
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,34 +23,79 @@ SAMPLE = {1: "u", 2: "i", 3: "f"}
 TILES = "raster_id string, band int, band_name string, r0 int, c0 int, h int, w int, dtype string, data binary"
 
 
-class Tiff:
-    """The directory of a file in memory, and its blocks on demand."""
+class Bytes:
+    """Parts of a file in memory, or of one that Arrow reaches: only what is asked for is read."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes | None = None, path: str | None = None):
         self.data = data
-        self.order = {b"II": "<", b"MM": ">"}.get(data[:2])
+        if path is not None:
+            system, at = fs.FileSystem.from_uri(path)
+            self.file = system.open_input_file(at)
+            self.head = self.file.read_at(1 << 16, 0)
+
+    def part(self, at: int, n: int) -> bytes:
+        if self.data is not None:
+            return self.data[at : at + n]
+        return self.head[at : at + n] if at + n <= len(self.head) else self.file.read_at(n, at)
+
+    def unpack(self, form: str, at: int) -> tuple:
+        return struct.unpack(form, self.part(at, struct.calcsize(form)))
+
+
+def lzw(data: bytes) -> bytes:
+    """The format's LZW: codes from the high bit on, widened one early, a clear code and an end code."""
+    out: list[bytes] = []
+    table: list[bytes] = []
+    bits = held = 0
+    width, last = 9, b""
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        while bits >= width:
+            code, bits = held >> (bits - width), bits - width
+            held &= (1 << bits) - 1
+            if code == 256:
+                table, width, last = [bytes([i]) for i in range(256)] + [b"", b""], 9, b""
+                continue
+            if code == 257:
+                return b"".join(out)
+            word = table[code] if code < len(table) else last + last[:1]
+            if last:
+                table.append(last + word[:1])
+            out.append(word)
+            last = word
+            width = min(12, max(9, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+class Tiff:
+    """The directory of a file, and its blocks on demand."""
+
+    def __init__(self, data: bytes | Bytes):
+        self.data = data if isinstance(data, Bytes) else Bytes(data)
+        self.order = {b"II": "<", b"MM": ">"}.get(self.data.part(0, 2))
         if not self.order:
             raise DataContractError("no TIFF file")
-        big = struct.unpack_from(self.order + "H", data, 2)[0] == 43
-        at = struct.unpack_from(self.order + ("Q" if big else "I"), data, 8 if big else 4)[0]
-        n = struct.unpack_from(self.order + ("Q" if big else "H"), data, at)[0]
+        unpack, o = self.data.unpack, self.order
+        big = unpack(o + "H", 2)[0] == 43
+        at = unpack(o + ("Q" if big else "I"), 8 if big else 4)[0]
+        n = unpack(o + ("Q" if big else "H"), at)[0]
         at, step, inline = (at + 8, 20, 8) if big else (at + 2, 12, 4)
         self.tags: dict[int, tuple | bytes] = {}
         for i in range(n):
-            tag, kind = struct.unpack_from(self.order + "HH", data, at + i * step)
-            count = struct.unpack_from(self.order + ("Q" if big else "I"), data, at + i * step + 4)[0]
+            tag, kind = unpack(o + "HH", at + i * step)
+            count = unpack(o + ("Q" if big else "I"), at + i * step + 4)[0]
             size, letter = FIELD[kind]
             place = at + i * step + (12 if big else 8)
             if size * count > inline:
-                place = struct.unpack_from(self.order + ("Q" if big else "I"), data, place)[0]
-            self.tags[tag] = data[place : place + count] if kind == 2 else struct.unpack_from(f"{self.order}{count * len(letter)}{letter[0]}", data, place)
+                place = unpack(o + ("Q" if big else "I"), place)[0]
+            self.tags[tag] = self.data.part(place, count) if kind == 2 else unpack(f"{o}{count * len(letter)}{letter[0]}", place)
         one = lambda tag, other: self.tags.get(tag, (other,))[0]
         self.width, self.height, self.bands = one(256, 0), one(257, 0), one(277, 1)
         self.dtype = np.dtype(f"{self.order}{SAMPLE[one(339, 1)]}{one(258, 8) // 8}")
         self.packed, self.planar, self.predictor = one(259, 1), one(284, 1) == 2, one(317, 1)
         self.tiled = 322 in self.tags
         self.bw, self.bh = (one(322, 0), one(323, 0)) if self.tiled else (self.width, min(one(278, self.height), self.height))
-        if self.packed not in (1, 8, 32946) or self.predictor not in (1, 2):
+        if self.packed not in UNPACK or self.predictor not in (1, 2, 3):
             raise DataContractError(f"compression {self.packed} with predictor {self.predictor} isn't read")
 
     @property
@@ -79,9 +125,11 @@ class Tiff:
 
     def block(self, i: int, h: int, bands: int) -> np.ndarray:
         offsets, sizes = (324, 325) if self.tiled else (273, 279)
-        raw = self.data[self.tags[offsets][i] : self.tags[offsets][i] + self.tags[sizes][i]]
-        if self.packed != 1:
-            raw = zlib.decompress(raw)
+        raw = UNPACK[self.packed](self.data.part(self.tags[offsets][i], self.tags[sizes][i]))
+        if self.predictor == 3:  # bytes of each row by significance, as differences
+            planes = np.cumsum(np.frombuffer(raw, np.uint8)[: h * self.bw * bands * self.dtype.itemsize].reshape(h, -1), axis=1, dtype=np.uint8)
+            x = np.ascontiguousarray(planes.reshape(h, self.dtype.itemsize, self.bw * bands).transpose(0, 2, 1)).view(self.dtype.newbyteorder(">"))
+            return x.reshape(h, self.bw, bands).astype(self.dtype)
         x = np.frombuffer(raw, self.dtype)[: h * self.bw * bands].reshape(h, self.bw, bands)
         return np.cumsum(x, axis=1, dtype=x.dtype) if self.predictor == 2 else x
 
@@ -100,6 +148,10 @@ class Tiff:
         return out
 
 
+#: How blocks are unpacked, by the format's number of the compression.
+UNPACK = {1: bytes, 5: lzw, 8: zlib.decompress, 32946: zlib.decompress, 50000: lambda data: zstandard.ZstdDecompressor().decompressobj().decompress(data)}
+
+
 def encode(bands: np.ndarray, transform: tuple[float, ...] = (1, 0, 0, 0, -1, 0), crs: str | None = None, nodata: float | None = 0, names: list[str] | None = None, block: int = 256) -> bytes:
     """Bands (n, h, w) as a tiled, deflated file; whole numbers with the horizontal predictor."""
     n, h, w = bands.shape
@@ -149,47 +201,89 @@ def _stem(path: str) -> str:
     return path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
 
+META = ["raster_id", "driver", "width", "height", "count", "dtype", "nodata", "crs", "transform", "res", "bounds", "names"]
+META_DDL = "raster_id string, driver string, width int, height int, count int, dtype string, nodata double, crs string, transform array<double>, res array<double>, bounds array<double>, names array<string>"
+
+
+def _reached(path: str) -> bool:
+    """Whether Arrow reads parts of the file; other stores are read whole, through Spark."""
+    try:
+        return fs.FileSystem.from_uri(path)[0].get_file_info(fs.FileSystem.from_uri(path)[1]).is_file
+    except Exception:  # noqa: BLE001  (no such scheme, library or right: Spark's reader is the other way)
+        return False
+
+
+def _listed(spark: SparkSession, path: str, recursive: bool) -> tuple[DataFrame, bool]:
+    """``path, content`` of the files; without their content if tasks can read parts of them."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    first = found.select("path").first()
+    parts = first is not None and _reached(first["path"])
+    return found.select("path", (F.lit(None).cast("binary") if parts else F.col("content")).alias("content")), parts
+
+
+def _open(path: str, content: bytes | None) -> Tiff:
+    return Tiff(Bytes(path=path) if content is None else content)
+
+
 def metadata(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """One row a file: ``raster_id, width, height, count, dtype, nodata, crs, transform, res, bounds, names``."""
+    """One row a file: ``raster_id, driver, width, height, count, dtype, nodata, crs, transform, res, bounds, names``; only headers are read where the store allows it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
             for p, data in zip(pdf["path"], pdf["content"], strict=True):
-                t = Tiff(data)
+                t = _open(p, data)
                 a, _, x, _, e, y = t.transform
-                out.append((_stem(p), t.width, t.height, t.bands, str(t.dtype.name), t.nodata, t.crs, [*map(float, t.transform)], [abs(a), abs(e)], [x, y + e * t.height, x + a * t.width, y], t.names()))
-            yield pd.DataFrame(out, columns=["raster_id", "width", "height", "count", "dtype", "nodata", "crs", "transform", "res", "bounds", "names"])
+                out.append((_stem(p), "GTiff", t.width, t.height, t.bands, str(t.dtype.name), t.nodata, t.crs, [*map(float, t.transform)], [abs(a), abs(e)], [x, y + e * t.height, x + a * t.width, y], t.names()))
+            yield pd.DataFrame(out, columns=META)
 
-    ddl = "raster_id string, width int, height int, count int, dtype string, nodata double, crs string, transform array<double>, res array<double>, bounds array<double>, names array<string>"
-    return _binary(spark, path, recursive).mapInPandas(run, ddl)
-
-
-def _binary(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "content")
+    return _listed(spark, path, recursive)[0].mapInPandas(run, META_DDL)
 
 
 def read(spark: SparkSession, path: str, bands: list[int] | None = None, chunk: int = 2048, recursive: bool = False) -> DataFrame:
     """Tiles of all files: windows of ``chunk`` cells, row by row, of the asked bands (from 1; all by default).
 
-    A file is read by one task, whole (files up to 2 GB, as Spark's binary source reads them); its windows leave one by one.
+    Where tasks can read parts of files (local, shared and object stores that Arrow knows), files are listed by their headers,
+    windows are dealt to tasks, and a task reads the blocks that its windows meet. Else a file is read whole by one task
+    through Spark (2 GB at most).
     """
     if chunk <= 0:
         raise DataContractError("a window has at least one cell")
+    listed, parts = _listed(spark, path, recursive)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for p, data in zip(pdf["path"], pdf["content"], strict=True):
+                t = _open(p, data)
+                found = [(p, b, r, c, min(chunk, t.height - r), min(chunk, t.width - c)) for r in range(0, t.height, chunk) for c in range(0, t.width, chunk) for b in bands or range(1, t.bands + 1)]
+                yield pd.DataFrame(found, columns=["path", "band", "r0", "c0", "h", "w"])
+
+    def window(t: Tiff, p: str, b: int, r: int, c: int, h: int, w: int) -> pd.DataFrame:
+        kind = t.dtype.newbyteorder("<")
+        x = t.window(r, c, h, w, b - 1).astype(kind)
+        return pd.DataFrame([(_stem(p), b, t.names()[b - 1], r, c, h, w, kind.str, x.tobytes())], columns=["raster_id", "band", "band_name", "r0", "c0", "h", "w", "dtype", "data"])
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: tuple = (None, None)
+        for pdf in frames:
+            for x in pdf.itertuples():
+                if last[0] != x.path:
+                    last = (x.path, _open(x.path, None))
+                yield window(last[1], x.path, x.band, x.r0, x.c0, x.h, x.w)
+
+    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for p, data in zip(pdf["path"], pdf["content"], strict=True):
                 t = Tiff(data)
-                names = t.names()
                 for r in range(0, t.height, chunk):
                     for c in range(0, t.width, chunk):
-                        h, w = min(chunk, t.height - r), min(chunk, t.width - c)
                         for b in bands or range(1, t.bands + 1):
-                            x = t.window(r, c, h, w, b - 1)
-                            yield pd.DataFrame([(_stem(p), b, names[b - 1], r, c, h, w, t.dtype.newbyteorder("<").str, x.astype(t.dtype.newbyteorder("<")).tobytes())], columns=["raster_id", "band", "band_name", "r0", "c0", "h", "w", "dtype", "data"])
+                            yield window(t, p, b, r, c, min(chunk, t.height - r), min(chunk, t.width - c))
 
-    return _binary(spark, path, recursive).mapInPandas(run, TILES)
+    if not parts:
+        return listed.mapInPandas(whole, TILES)
+    windows = listed.mapInPandas(plan, "path string, band int, r0 int, c0 int, h int, w int")
+    return windows.repartition("path", "r0").sortWithinPartitions("path", "r0", "c0").mapInPandas(cut, TILES)
 
 
 def cells(tiles: DataFrame) -> DataFrame:
@@ -205,24 +299,120 @@ def cells(tiles: DataFrame) -> DataFrame:
     return tiles.mapInPandas(run, "raster_id string, band int, band_name string, r int, c int, v double")
 
 
-def write(cells: DataFrame, folder: str, height: int, width: int, dtype: str = "uint8", nodata: float | None = 0, transform: tuple[float, ...] = (1, 0, 0, 0, -1, 0), crs: str | None = None) -> int:
-    """A file for each raster of cells (raster_id, r, c, v[, band]); absent cells are nodata (0 if none). Returns how many files.
-
-    A raster is put together by the task that writes it, so it must fit there; it is written under another name and renamed.
-    ``folder``: any place that Arrow's file systems reach from every executor.
+def _entry(tag: int, kind: int, values: list | bytes, spare: list[bytes], at: int) -> bytes:
+    """A directory entry of a large file; values that don't fit go to the spare bytes, which begin at ``at``."""
+    data = values if kind == 2 else struct.pack(f"<{len(values)}{FIELD[kind][1]}", *values)
+    if len(data) <= 8:
+        return struct.pack("<HHQ", tag, kind, len(values)) + data.ljust(8, b"\0")
+    place = at + sum(map(len, spare))
+    spare.append(data + b"\0" * (-len(data) % 8))
+    return struct.pack("<HHQQ", tag, kind, len(values), place)
+
+
+class Writer:
+    """A raster written block by block, in order, to a stream (BigTIFF): no more than one block is held."""
+
+    def __init__(self, out, bands: int, height: int, width: int, kind: np.dtype, transform: tuple[float, ...], crs: str | None, nodata: float | None, block: int = 256):
+        self.out, self.shape, self.kind, self.transform, self.crs, self.nodata, self.block = out, (bands, height, width), kind, transform, crs, nodata, block
+        self.across, self.down = -(-width // block), -(-height // block)
+        self.offsets: list[int] = []
+        self.sizes: list[int] = []
+        self.at = 16
+        out.write(b"II+\0" + struct.pack("<HHQ", 8, 0, 0)[:4] + b"\0" * 8)
+        self.blank = self._packed(np.full((block, block), nodata or 0, kind))
+
+    def _packed(self, x: np.ndarray) -> bytes:
+        if self.kind.kind in "ui":
+            x = np.diff(x, axis=1, prepend=np.zeros((self.block, 1), self.kind)).astype(self.kind)
+        return zlib.compress(x.tobytes())
+
+    def put(self, number: int, r: np.ndarray, c: np.ndarray, v: np.ndarray) -> None:
+        """Block ``number`` (band, row and column of blocks in order); those left out before it are blank."""
+        x = np.full((self.block, self.block), self.nodata or 0, self.kind)
+        x[r % self.block, c % self.block] = v
+        self.fill(number)
+        self._add(self._packed(x))
+
+    def fill(self, until: int) -> None:
+        while len(self.offsets) < until:
+            self._add(self.blank)
+
+    def _add(self, data: bytes) -> None:
+        self.offsets.append(self.at)
+        self.sizes.append(len(data))
+        self.out.write(data)
+        self.at += len(data)
+
+    def close(self) -> tuple[int, bytes]:
+        """The directory goes last; returns its place, which the file's head has to name, and that head."""
+        n, h, w = self.shape
+        self.fill(n * self.across * self.down)
+        a, _, x0, _, e, y0 = self.transform
+        code = int(self.crs.rpartition(":")[2]) if self.crs else None
+        fields = [(256, 4, [w]), (257, 4, [h]), (258, 3, [self.kind.itemsize * 8] * n), (259, 3, [8]), (262, 3, [1]), (277, 3, [n]), (284, 3, [2]), (317, 3, [2 if self.kind.kind in "ui" else 1]), (322, 3, [self.block]), (323, 3, [self.block]), (324, 16, self.offsets), (325, 16, self.sizes), (339, 3, [{"u": 1, "i": 2, "f": 3}[self.kind.kind]] * n), (33550, 12, [a, -e, 0.0]), (33922, 12, [0.0, 0.0, 0.0, x0, y0, 0.0])]
+        fields += [(34735, 3, [1, 1, 0, 2, 1024, 0, 1, 2 if code == 4326 else 1, 2048 if code == 4326 else 3072, 0, 1, code])] if code else []
+        fields += [(42113, 2, f"{self.nodata:g}".encode() + b"\0")] if self.nodata is not None else []
+        spare: list[bytes] = []
+        after = self.at + 8 + 20 * len(fields) + 8
+        table = b"".join(_entry(*f, spare, after) for f in fields)
+        self.out.write(struct.pack("<Q", len(fields)) + table + b"\0" * 8 + b"".join(spare))
+        return self.at, b"II+\0" + struct.pack("<HHQ", 8, 0, self.at)
+
+
+def write(cells: DataFrame, folder: str, height: int, width: int, dtype: str = "uint8", nodata: float | None = 0, transform: tuple[float, ...] = (1, 0, 0, 0, -1, 0), crs: str | None = None, bands: int | None = None, block: int = 256) -> DataFrame:
+    """A file for each raster of cells (raster_id, r, c, v[, band]); absent cells are nodata (0 if none). Returns ``raster_id, path, blocks`` (written).
+
+    Cells are dealt to rasters and sorted by block, and a task writes a raster block by block, so that it holds one block of
+    it. A file gets its name when it is whole. ``folder``: any place that Arrow's file systems reach from every executor;
+    a path without a scheme is taken as Spark takes it. ``bands``: how many; by default the largest number among the cells.
     """
-    has_band = "band" in cells.columns
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        band = pdf["band"].to_numpy() - 1 if has_band else np.zeros(len(pdf), int)
-        grid = np.full((int(band.max()) + 1, height, width), nodata or 0, dtype)
-        grid[band, pdf["r"], pdf["c"]] = pdf["v"]
-        scheme, _, rest = folder.rpartition(":/")
-        system, at = fs.FileSystem.from_uri(f"{scheme}:///{rest.lstrip('/')}" if scheme == "file" else folder) if scheme else (fs.LocalFileSystem(), folder)
+    from cinderspark.sources.tables import qualified, written
+
+    spark = cells.sparkSession
+    folder = qualified(spark, folder)
+    typed = cells.select("raster_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"), (F.col("band") if "band" in cells.columns else F.lit(1)).cast("int").alias("band"))
+    bands = bands or int(typed.agg(F.max("band").alias("n")).first()["n"] or 1)
+    across, down = -(-width // block), -(-height // block)
+    number = ((F.col("band") - 1) * down + F.floor(F.col("r") / block)) * across + F.floor(F.col("c") / block)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = fs.FileSystem.from_uri(folder)
         system.create_dir(at, recursive=True)
-        with system.open_output_stream(f"{at}/.{key[0]}") as out:
-            out.write(encode(grid, transform, crs, nodata))
-        system.move(f"{at}/.{key[0]}", f"{at}/{key[0]}.tif")
-        return pd.DataFrame({"n": [1]})
+        now: tuple = (None, None, None, None)  # raster, block, its cells, writer
+        done: list[tuple] = []
+
+        def flush() -> None:
+            if now[2]:
+                x = pd.concat(now[2])
+                now[3].put(now[1], x["r"].to_numpy(), x["c"].to_numpy(), x["v"].to_numpy())
+
+        def close() -> None:
+            if now[3] is None:
+                return
+            flush()
+            place, head = now[3].close()
+            now[3].out.close()
+            body = f"{at}/.{now[0]}-body"
+            with system.open_output_stream(f"{at}/.{now[0]}") as out, system.open_input_stream(body) as part:
+                part.read(16)
+                out.write(head)
+                while data := part.read(8 << 20):
+                    out.write(data)
+            system.delete_file(body)
+            system.move(f"{at}/.{now[0]}", f"{at}/{now[0]}.tif")
+            done.append((now[0], f"{folder}/{now[0]}.tif", len(now[3].offsets)))
 
-    return cells.groupBy("raster_id").applyInPandas(run, "n long").agg(F.sum("n").alias("n")).first()["n"] or 0
+        for pdf in frames:
+            for (raster, n), part in pdf.groupby(["raster_id", "n"], sort=False):
+                if raster != now[0]:
+                    close()
+                    now = (raster, n, [], Writer(system.open_output_stream(f"{at}/.{raster}-body"), bands, height, width, np.dtype(dtype).newbyteorder("<"), transform, crs, nodata, block))
+                elif n != now[1]:
+                    flush()
+                    now = (raster, n, [], now[3])
+                now[2].append(part)
+        close()
+        yield pd.DataFrame(done, columns=["raster_id", "path", "blocks"])
+
+    ordered = typed.withColumn("n", number.cast("long")).repartition("raster_id").sortWithinPartitions("raster_id", "n")
+    return written(ordered.mapInPandas(run, "raster_id string, path string, blocks long"), "rasters")

@@ -10,11 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspark.errors import DataContractError
-from cinderspark.operators.geometry import Polygons, from_wkb, polygons_of_rings, to_wkb
+from cinderspark.operators.dissolve import dissolve
+from cinderspark.operators.geometry import Polygons, bounds, from_wkb, polygons_of_rings, ring_area, to_wkb
+from cinderspark.sources.tables import qualified, written
 
 #: Formats by extension.
 FORMATS = {".shp": "shapefile", ".gpkg": "gpkg", ".geojson": "geojson", ".json": "geojson", ".parquet": "parquet"}
@@ -115,14 +118,18 @@ def _table(dbf: bytes) -> list[dict]:
     return out
 
 
-def read_layer(spark: SparkSession, path: str, layer: str | None = None, schema: str | None = None) -> DataFrame:
+def read_layer(spark: SparkSession, path: str, layer: str | None = None, schema: str | None = None, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
     """``source_file, properties (JSON), geom (WKB), crs`` of a layer's features, or with ``schema`` its attributes as columns.
 
+    With ``bbox``, only features whose box meets it leave the scan; a Parquet layer's box columns are filtered in its scan.
     A file is read by one task. A shapefile's table and coordinate code are taken from the files of the same name.
     """
     kind = format_of(path)
     if kind == "parquet":
-        return spark.read.parquet(path)
+        table = spark.read.parquet(path)
+        if bbox:
+            table = table.where((F.col("minx") <= bbox[2]) & (F.col("maxx") >= bbox[0]) & (F.col("miny") <= bbox[3]) & (F.col("maxy") >= bbox[1]))
+        return table
     if kind == "shapefile":
         base = path[:-4]
         content = lambda ext: spark.read.format("binaryFile").load(base + ext).select(F.col("content").alias(ext[1:]))
@@ -141,12 +148,88 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, schema:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for x in pdf.to_dict("records"):
-                yield pd.DataFrame([(x["path"].rsplit("/", 1)[-1], *f) for f in rows(x)], columns=["source_file", "properties", "geom", "crs"])
+                yield pd.DataFrame([(x["path"].rsplit("/", 1)[-1], *f) for f in rows(x) if bbox is None or _meets(f[1], bbox)], columns=["source_file", "properties", "geom", "crs"])
 
     found = both.mapInPandas(run, FEATURES)
     return found if schema is None else found.select("source_file", F.from_json("properties", schema).alias("p"), "geom", "crs").select("source_file", "p.*", "geom", "crs")
 
 
+def _meets(geom: bytes | None, box: tuple[float, float, float, float]) -> bool:
+    own = bounds(from_wkb(geom))
+    return own is not None and own[0] <= box[2] and own[2] >= box[0] and own[1] <= box[3] and own[3] >= box[1]
+
+
+def union_of(spark: SparkSession, path: str, cell: float, layer: str | None = None) -> DataFrame:
+    """``geom, crs``: all features of a file united to one shape to clip by; a file without a coordinate system, or without features, is an error."""
+    found = read_layer(spark, path, layer)
+    row = found.select("crs").first()
+    if row is None or not row["crs"]:
+        raise DataContractError("the layer has no features, or no coordinate system")
+    return dissolve(found.withColumn("k", F.lit(1)), "k", cell).select("geom", F.lit(row["crs"]).alias("crs"))
+
+
+def to_geojson(features: list[tuple[dict, bytes | None]], crs: str = "EPSG:4326") -> bytes:
+    """Features (attributes, WKB) as a collection."""
+    shapes = [{"type": "MultiPolygon", "coordinates": [[r.tolist() for r in p] for p in from_wkb(g)]} if g else None for _, g in features]
+    named = {"type": "name", "properties": {"name": f"urn:ogc:def:crs:EPSG::{crs.rpartition(':')[2]}"}}
+    return json.dumps({"type": "FeatureCollection", "crs": named, "features": [{"type": "Feature", "properties": a, "geometry": s} for (a, _), s in zip(features, shapes, strict=True)]}).encode()
+
+
+def to_shapefile(features: list[tuple[dict, bytes | None]], crs: str = "EPSG:4326") -> dict[str, bytes]:
+    """Features as a shapefile's parts by extension: shapes, their index, a table of text columns, and the system's code."""
+    records, index, at = [], [], 50
+    boxes = [bounds(from_wkb(g)) for _, g in features]
+    for i, (_, g) in enumerate(features):
+        rings = [r if (ring_area(r) < 0) == (j == 0) else r[::-1] for p in from_wkb(g) for j, r in enumerate(p)]  # outsides clockwise
+        body = struct.pack("<I", 0)
+        if rings:
+            starts = np.cumsum([0, *map(len, rings)])
+            body = struct.pack("<I4d2I", 5, *boxes[i], len(rings), int(starts[-1])) + starts[:-1].astype("<u4").tobytes() + np.concatenate(rings).astype("<f8").tobytes()
+        records.append(struct.pack(">II", i + 1, len(body) // 2) + body)
+        index.append(struct.pack(">II", at, len(body) // 2))
+        at += len(records[-1]) // 2
+    known = [b for b in boxes if b]
+    whole = (min(b[0] for b in known), min(b[1] for b in known), max(b[2] for b in known), max(b[3] for b in known)) if known else (0.0,) * 4
+    head = lambda words: struct.pack(">7I", 9994, 0, 0, 0, 0, 0, words) + struct.pack("<2I8d", 1000, 5, *whole, 0, 0, 0, 0)
+    names = list(dict.fromkeys(k for a, _ in features for k in a))
+    cut = [n[:10] for n in names]
+    text = lambda v: ("" if v is None else str(v)).encode()[:254]
+    wide = [max([1, *(len(text(a.get(n))) for a, _ in features)]) for n in names]
+    fields = b"".join(c.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([w, 0]) + b"\0" * 14 for c, w in zip(cut, wide, strict=True))
+    table = struct.pack("<B3BIHH20x", 3, 125, 1, 1, len(features), 33 + len(fields), 1 + sum(wide)) + fields + b"\r"
+    table += b"".join(b" " + b"".join(text(a.get(n)).ljust(w) for n, w in zip(names, wide, strict=True)) for a, _ in features) + b"\x1a"
+    return {".shp": head(at) + b"".join(records), ".shx": head(50 + 4 * len(index)) + b"".join(index), ".dbf": table, ".prj": f'PROJCS["",AUTHORITY["EPSG","{crs.rpartition(":")[2]}"]]'.encode()}
+
+
+def write_layers(features: DataFrame, folder: str, by: str, attributes: list[str], extension: str = ".gpkg", crs: str = "EPSG:4326", names: DataFrame | None = None, geom: str = "geom") -> DataFrame:
+    """A vector file for each value of ``by``, in the format that the extension names; returns ``file, n`` (features written).
+
+    Rows are dealt to files; a file is put together by one task, from its own features, and gets its name when it is whole.
+    ``names`` (column ``by``) lists files that have to be there: those without a feature are empty layers.
+    """
+    kind = format_of("x" + extension)
+    if kind == "parquet":
+        raise DataContractError("write Parquet layers with partitionBy")
+    folder = qualified(features.sparkSession, folder)
+    rows = features.select(F.col(by).cast("string").alias("name"), F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"}).alias("p"), F.col(geom).alias("g"))
+    if names is not None:
+        rows = names.select(F.col(by).cast("string").alias("name")).distinct().join(rows, "name", "left")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[pdf["p"].notna()]
+        listed = [(json.loads(p), None if g is None else bytes(g)) for p, g in zip(pdf["p"], pdf["g"], strict=True)]
+        made = to_shapefile(listed, crs) if kind == "shapefile" else {extension: write_gpkg(listed, crs) if kind == "gpkg" else to_geojson(listed, crs)}
+        system, at = fs.FileSystem.from_uri(folder)
+        system.create_dir(at, recursive=True)
+        for ending, data in made.items():
+            with system.open_output_stream(f"{at}/.{key[0]}{ending}") as out:
+                out.write(data)
+            system.move(f"{at}/.{key[0]}{ending}", f"{at}/{key[0]}{ending}")
+        return pd.DataFrame({"file": [f"{key[0]}{extension}"], "n": [len(listed)]})
+
+    return written(rows.groupBy("name").applyInPandas(run, "file string, n long"), "layers")
+
+
 def feature_json(layer: DataFrame, attributes: list[str], geom: str = "geom") -> DataFrame:
     """``value``: each feature as a line of GeoJSON, ready for ``write.text``."""
 

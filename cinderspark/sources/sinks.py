@@ -21,6 +21,19 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def write_log(messages: DataFrame, path: str, header: str = "") -> None:
+    """Messages (at timestamp, level, message) as lines of JSON in order of time, after a first line with the header."""
+    first = messages.sparkSession.createDataFrame([(0, header)], "part int, value string")
+    lines = messages.select(F.lit(1).alias("part"), F.to_json(F.struct("at", "level", "message")).alias("value"), "at")
+    ordered = lines.unionByName(first, allowMissingColumns=True).orderBy("part", "at", "value")
+    ordered.select("value").write.mode("overwrite").text(path)
+
+
+def large_enough(files: DataFrame, least_mb: float = 0.01) -> DataFrame:
+    """Files (size in bytes) of ``least_mb`` megabytes of 2^20 bytes at least: smaller outputs have likely failed."""
+    return files.where(F.col("size") / (1 << 20) >= least_mb)
+
+
 def write_paths(paths: DataFrame, path: str, column: str = "path") -> None:
     """One path a line, in order; range partitions keep the order over files."""
     paths.select(F.col(column).cast("string").alias("value")).orderBy("value").write.mode("overwrite").text(path)

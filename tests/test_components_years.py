@@ -28,7 +28,7 @@ def test_areas_of_every_year(spark):
     import __spark_entry__ as entry
 
     cells = {(x["y"], x["r"], x["c"]) for x in inputs.burnt(spark, DATA).collect()}
-    got = {(x["y"], x["component"]): x["cells"] for x in entry.queries()["components_area_years"](spark, DATA).collect()}
+    got = {(x["y"], x["component"]): x["cells"] for x in entry.queries()["components_area"](spark, DATA).collect()}
     assert got == flooded(cells)
     assert len({y for y, _ in got}) > 1
     per_year = collections.Counter()
