@@ -99,12 +99,17 @@ def numbered(split: Callable[[str], list]) -> Callable:
     return run
 
 
-def numbered_words(texts: list[str], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Numbers the white-space-bounded words of a block's texts (A-Z lower-cased), by hash, about ``most`` bytes at a time."""
+def numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers the white-space-bounded words of a block's texts (A-Z lower-cased)."""
+    return numbered_hashes([t.encode() for t in texts])[:3]
+
+
+def numbered_hashes(texts: list[bytes], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Word numbers in order of the words' hashes, words a text, words, and hashes; about ``most`` bytes are taken at a time."""
     parts, held, size = [], [], 0
     for text in texts:
-        held.append(text.encode())
-        size += len(held[-1]) + 1
+        held.append(text)
+        size += len(text) + 1
         if size >= most:
             parts.append(word_hashes(held))
             held, size = [], 0
@@ -119,7 +124,7 @@ def numbered_words(texts: list[str], most: int = 1 << 20) -> tuple[np.ndarray, n
         i = at[own] - begin[k]
         for w, a, b in zip(own.tolist(), start[i].tolist(), end[i].tolist(), strict=True):
             words[w] = body[a:b]
-    return number.astype(np.uint32), np.concatenate([np.diff(p[4]) for p in parts]).astype(np.uint32), words
+    return number.astype(np.uint32), np.concatenate([np.diff(p[4]) for p in parts]).astype(np.uint32), words, value
 
 
 def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Callable[[int | None, str], int] | None = None, bucket: Callable[[bytes, int], int] = bucket_of, most_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:

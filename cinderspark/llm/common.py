@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,23 +75,6 @@ def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return y[new], order[new], number
 
 
-class Hashes(dict):
-    """Word (bytes) to its 64-bit hash, remembered up to a bound."""
-
-    def __init__(self, most: int = 300_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
-
-
 def rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Python tuples of the named columns, a few hundred at a time so that a batch of long texts is not held twice."""
     for batch in batches:

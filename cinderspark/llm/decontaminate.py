@@ -6,193 +6,235 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderspark.llm.blocks import pack, trim, unpack
-from cinderspark.llm.common import U64, Hashes, docs_of, mix, rows
+from cinderspark.llm.blocks import numbered_hashes, pack, pack_words, trim, unpack, unpack_words
+from cinderspark.llm.common import distinct, docs_of, rows
 from cinderspark.sources.tables import written
 
 #: Bytes to words: A-Z lower-cased; ASCII other than letters and digits is a gap; all other characters are of words.
 GAPS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: Tokens that close a part of the index, and windows asked at a time.
-PART_TOKENS, ASKED = 1_000_000, 200_000
+#: Bytes of text that close a part of the index, windows asked in one pass, and postings of a list block.
+PART_BYTES, ASKED, LIST_BLOCK = 6_000_000, 200_000, 2048
 #: Pairs of a window and a place that are compared at a time.
 STEP = 2_000_000
-OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-DDL = "doc_id long, n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
+OUT = pa.schema([("part", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+DDL = "part long, row int, doc_id long, n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
+INDEX = pa.schema([("part", pa.int64()), ("docs_", pa.binary()), ("terms", pa.binary()), ("words", pa.binary()), ("places", pa.binary())])
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(GAPS).split()
+def plain(text: str | None) -> bytes:
+    """A text's words, lower-cased, with a space for everything that is of no word."""
+    return (text or "").encode().translate(GAPS)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The positional inverted index of ``docs``, stored in the shared folder, one row for a part of about a million tokens.
 
-    ``docs_`` packs the part's doc ids, whether each is null, and its words; ``terms`` the sorted term hashes with the
-    lengths of their posting lists; ``places`` all lists end to end, as steps. Documents of a part follow each other with a
-    place between them, so that no phrase crosses. Parts hold whole documents, so asking needs no shuffle of postings.
+    ``docs_`` packs the part's doc ids, whether each is null, and its words; ``terms`` the sorted term hashes, the lengths of
+    their posting lists, where each block of postings begins, and the postings of a block; ``words`` the terms themselves; ``places`` all lists end to
+    end, as steps, in blocks that can be read apart. Documents of a part follow each other with a place between them, so that
+    no phrase crosses. Parts hold whole documents, so asking needs no shuffle of postings.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, ids, arrays, n = Hashes(), [], [], 0
+        ids: list[int | None] = []
+        texts: list[bytes] = []
+        size, part = 0, TaskContext.get().partitionId() << 24
 
         def take() -> pa.RecordBatch:
-            sizes = np.array([len(a) for a in arrays], np.int64)
-            place = np.concatenate([np.arange(s, dtype=np.int64) for s in sizes] or [np.zeros(0, np.int64)]) + np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes)
-            flat = np.concatenate(arrays) if arrays else np.zeros(0, U64)
+            flat, sizes, words, hashes = numbered_hashes(texts)
+            sizes = sizes.astype(np.int64)
+            place = np.arange(len(flat)) + np.repeat(np.arange(len(sizes)), sizes)
             order = np.argsort(flat, kind="stable")
-            terms, first, count = np.unique(flat[order], return_index=True, return_counts=True)
+            count = np.bincount(flat, minlength=len(words))
+            first = np.cumsum(count) - count
             place = place[order]
             steps = np.diff(place, prepend=0)
             steps[first] = place[first]
-            cols = [pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), sizes.astype(np.uint32)), pack(terms, count.astype(np.uint32)), pack(steps.astype(np.uint32))]
-            ids.clear(), arrays.clear()
-            return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cols], names=["docs_", "terms", "places"])
+            steps = steps.astype(np.uint32)
+            blocks = [pack(steps[i : i + LIST_BLOCK]) for i in range(0, len(steps), LIST_BLOCK)]
+            at = np.cumsum([0, *map(len, blocks)], dtype=np.uint32)
+            cols = [pack(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), sizes.astype(np.uint32)), pack(hashes, count.astype(np.uint32), at, np.array([LIST_BLOCK], np.uint32)), pack_words(words), b"".join(blocks)]
+            ids.clear(), texts.clear()
+            trim()
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([c], pa.binary()) for c in cols)], schema=INDEX)
 
         for doc_id, text in rows(batches, "doc_id", "text"):
-            arrays.append(seen.array(words_of(text)))
+            texts.append(plain(text))
             ids.append(doc_id)
-            n += len(arrays[-1]) + 1
-            if n >= PART_TOKENS:
+            size += len(texts[-1]) + 6
+            if size >= PART_BYTES:
                 yield take()
-                n = 0
-                trim()
+                size, part = 0, part + 1
         if ids:
             yield take()
 
-    return written(docs_of(docs, id_col, text_col).mapInArrow(run, "docs_ binary, terms binary, places binary"), "postings")
+    return written(docs_of(docs, id_col, text_col).mapInArrow(run, "part long, docs_ binary, terms binary, words binary, places binary"), "postings")
+
+
+class Windows:
+    """What is asked: distinct windows of term numbers (-1 past a window's size), the terms with their hashes, and the windows' items."""
+
+    def __init__(self, items: list[tuple[int, str]], width: int = 13):
+        flat, sizes, self.words, self.hashes = numbered_hashes([plain(t) for _, t in items])
+        found, size, owner, at = [], [], [], 0
+        for (item, _), n in zip(items, sizes.tolist(), strict=True):
+            own = flat[at : at + n].astype(np.int64)
+            at += n
+            if not n:
+                continue
+            many = max(1, n - width + 1)
+            found.append(np.lib.stride_tricks.sliding_window_view(own, width) if n >= width else np.r_[own, np.full(width - n, -1)][None])
+            size += [min(n, width)] * many
+            owner += [item] * many
+        every = np.concatenate(found) if found else np.zeros((0, width), np.int64)
+        self.windows, kept, number = np.unique(every, axis=0, return_index=True, return_inverse=True)
+        self.sizes = np.array(size, np.int64)[kept]
+        pairs = np.unique(np.stack([number.ravel(), np.array(owner, np.int64)], 1), axis=0)
+        self.first, self.owner = np.searchsorted(pairs[:, 0], np.arange(len(kept) + 1)), pairs[:, 1]
 
 
 class Part:
-    """A part of the index, opened: posting lists by term, and the term at each place."""
+    """A part of the index, opened: terms at once, posting lists when they are asked for."""
 
-    def __init__(self, docs_: bytes, terms: bytes, places: bytes):
+    def __init__(self, docs_: bytes, terms: bytes, words: bytes, places: bytes):
         ids, null, sizes = unpack(docs_)
         self.ids = [None if n else i for i, n in zip(ids.tolist(), null.tolist(), strict=True)]
         self.sizes = sizes.astype(np.int64)
         self.start = np.cumsum(self.sizes + 1) - self.sizes - 1
-        self.terms, self.count = unpack(terms)
-        self.count = self.count.astype(np.int64)
-        steps = unpack(places)[0].astype(np.int64)
+        self.hashes, count, self.at, (self.block,) = unpack(terms)
+        self.count = count.astype(np.int64)
         self.first = np.cumsum(self.count) - self.count
-        total = np.cumsum(steps)
-        before = np.where(self.first > 0, total[self.first - 1], 0) if len(steps) else np.zeros(0, np.int64)
-        self.places = total - np.repeat(before, self.count)
+        self.words, self.places = words, places
         self.length = int((self.sizes + 1).sum())
-        self.at = np.full(self.length, -1, np.int32)
-        self.at[self.places] = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.count)
-
-    def find(self, windows: np.ndarray, sizes: np.ndarray, slop: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(window number, place) of every match, in groups. ``windows``: term hashes, a row each, 0 past a window's size.
 
-        A window's lists are intersected from its rarest term on: each of the rarest term's places gives a place where the
-        window would begin, and the next rarest terms, offset-adjusted, strike out what lacks them. With ``slop``, a term may
-        stand that many places before or after its own (proximity).
+    def terms_of(self, asked: Windows) -> np.ndarray:
+        """The part's number of each asked term, -1 where it lacks it: found by hash, and compared as words."""
+        if not len(self.hashes) or not len(asked.hashes):
+            return np.full(len(asked.hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, asked.hashes), len(self.hashes) - 1)
+        same = np.flatnonzero(self.hashes[at] == asked.hashes)
+        found = np.full(len(asked.hashes), -1)
+        if len(same):
+            own = unpack_words(self.words)
+            for i in same.tolist():
+                if own[at[i]] == asked.words[i]:
+                    found[i] = at[i]
+        return found
+
+    def lists(self, terms: np.ndarray) -> np.ndarray:
+        """The posting lists of some terms (ascending), end to end, as term * (length + 1) + place; only their blocks are read."""
+        n = self.count[terms]
+        ends = np.cumsum(n)
+        i = np.repeat(self.first[terms] - (ends - n), n) + np.arange(int(n.sum()))
+        blocks, _, which = distinct(i // int(self.block))
+        read = [unpack(self.places[self.at[b] : self.at[b + 1]])[0] for b in blocks.tolist()]
+        begin = np.cumsum([0, *map(len, read)])[:-1]
+        total = np.cumsum(np.concatenate(read).astype(np.int64)[begin[which] + i % int(self.block)])
+        before = np.where(ends > n, total[ends - n - 1], 0)
+        return total - np.repeat(before, n) + np.repeat(terms, n) * (self.length + 1)
+
+    def find(self, asked: Windows, slop: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window number, place) of every match, in groups.
+
+        A window's lists are intersected from its rarest term on: each place of the rarest term is where the window would
+        begin, less the term's offset; what the next rarest term's list lacks at its own offset goes, and so on. A window with
+        a term that the part lacks is left out before any list is read. With ``slop``, a term may stand that many places before
+        or after its own (proximity).
         """
-        if not len(self.terms) or not len(windows):
+        known = self.terms_of(asked)
+        used = asked.windows >= 0
+        term = np.where(used, known[asked.windows] if len(known) else -1, -1)
+        alive = np.flatnonzero((term >= 0).sum(1) == asked.sizes)
+        if not len(alive):
             return
-        term = np.searchsorted(self.terms, windows)
-        term[term == len(self.terms)] = 0
-        used = np.arange(windows.shape[1]) < sizes[:, None]
-        there = (self.terms[term] == windows) | ~used
-        alive = np.flatnonzero(there.all(1))
-        length = np.where(used[alive], self.count[term[alive]], np.iinfo(np.int64).max)
+        term, used, sizes = term[alive], used[alive], asked.sizes[alive]
+        named = distinct(term[used])[0]
+        keys = self.lists(named)
+        begin = np.cumsum(self.count[named]) - self.count[named]
+        length = np.where(used, self.count[term], np.iinfo(np.int64).max)
         order = np.argsort(length, axis=1, kind="stable")
-        rarest = np.take_along_axis(length, order[:, :1], 1)[:, 0]
+        rarest = term[np.arange(len(alive)), order[:, 0]]
+        many = self.count[rarest]
+        wide = self.length + 1
         lo = 0
         while lo < len(alive):
-            hi = max(lo + 1, int(np.searchsorted(np.cumsum(rarest[lo:]), STEP, "right")) + lo)
+            hi = max(lo + 1, int(np.searchsorted(np.cumsum(many[lo:]), STEP, "right")) + lo)
             group = np.arange(lo, hi)
-            n = rarest[group]
+            n = many[group]
             w = np.repeat(group, n)
-            first = self.first[term[alive[group], order[group, 0]]]
-            place = self.places[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] - order[w, 0]
-            size = sizes[alive[w]]
-            ok = (place >= 0) & (place + size <= self.length)
+            first = begin[np.searchsorted(named, rarest[group])]
+            place = keys[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] - rarest[w] * wide - order[w, 0]
+            ok = (place >= 0) & (place + sizes[w] <= self.length)
             w, place = w[ok], place[ok]
-            for k in range(1, windows.shape[1]):
+            for k in range(1, term.shape[1]):
                 if not len(w):
                     break
                 j = order[w, k]
-                want = term[alive[w], j]
-                live = k < sizes[alive[w]]
-                near = self.at[np.minimum(place + j, self.length - 1)] == want
-                for d in range(1, slop + 1):
-                    near |= self.at[np.clip(place + j - d, 0, self.length - 1)] == want
-                    near |= self.at[np.clip(place + j + d, 0, self.length - 1)] == want
-                keep = near | ~live
+                base = term[w, j] * wide
+                low, high = np.maximum(place + j - slop, 0), np.minimum(place + j + slop, self.length)
+                there = np.searchsorted(keys, base + low) < np.searchsorted(keys, base + high, "right")
+                keep = there | (k >= sizes[w])
                 w, place = w[keep], place[keep]
             if slop and len(w):  # all of it in one document
                 doc = np.searchsorted(self.start, place, "right") - 1
-                ok = place + sizes[alive[w]] <= self.start[doc] + self.sizes[doc]
+                ok = place + sizes[w] <= self.start[doc] + self.sizes[doc]
                 w, place = w[ok], place[ok]
             yield alive[w], place
             lo = hi
 
 
-def windows_of(items: list[tuple[int, str]], width: int = 13) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Term hashes of every distinct window, their sizes, and their items: those of window i are ``owner[first[i]:first[i + 1]]``.
-
-    An item of fewer than ``width`` words, but not none, is one window.
-    """
-    seen, found, sizes, owner = Hashes(), [], [], []
-    for item, text in items:
-        h = seen.array(words_of(text))
-        if not len(h):
-            continue
-        if len(h) < width:
-            found.append(np.r_[h, np.zeros(width - len(h), U64)][None])
-        else:
-            found.append(np.lib.stride_tricks.sliding_window_view(h, width))
-        sizes += [min(len(h), width)] * len(found[-1])
-        owner += [item] * len(found[-1])
-    windows, sizes, owner = (np.concatenate(found) if found else np.zeros((0, width), U64)), np.array(sizes, np.int64), np.array(owner, np.int64)
-    with np.errstate(over="ignore"):
-        whole = mix(sizes.astype(U64))
-        for column in windows.T:
-            whole = mix(whole * U64(0x9E3779B97F4A7C15) + column)
-    _, kept, number = np.unique(whole, return_index=True, return_inverse=True)
-    pairs = np.unique(np.stack([number, owner], 1), axis=0)
-    return windows[kept], sizes[kept], np.searchsorted(pairs[:, 0], np.arange(len(kept) + 1)), pairs[:, 1]
-
-
 def ask_index(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = 13, slop: int = 0) -> DataFrame:
     """``doc_id, n_words, n_hit, items, spans`` of each indexed document.
 
     ``items``: ids of the benchmark items with a window in the document, ascending; ``spans``: runs of hit words (ends
     exclusive); ``n_hit``: their words. ``slop`` above 0 asks for proximity instead of the exact phrase. The benchmark is
-    the stated query set: it is asked in groups of at most 200,000 windows (20 MB), each broadcast to the parts; a document's
-    answers to several groups are merged. Items with a null id or no words have no window. Rows that repeat an id each give
-    a row. An empty benchmark hits nothing; an empty index gives an empty result.
+    the stated query set: it is asked in groups of about 200,000 windows (20 MB), one pass over the index each, so that one
+    group is broadcast at a time; a document's answers to several groups are merged. Items with a null id or no words have no
+    window. Rows that repeat an id each give a row. An empty benchmark hits nothing; an empty index gives an empty result.
     """
-    spark = index.sparkSession
     known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null")
-    groups, held, n = [], [], 0
+    passes, held, n = [], [], 0
     for row in known.toLocalIterator():
         held.append((row["item"], row["text"]))
         n += max(1, len(row["text"]) // 4)
         if n >= ASKED:
-            groups.append(spark.sparkContext.broadcast(windows_of(held, width)))
+            passes.append(written(_ask(index, Windows(held, width), slop), "answers"))
             held, n = [], 0
-    groups.append(spark.sparkContext.broadcast(windows_of(held, width)))
+    last = _ask(index, Windows(held, width), slop)
+    if not passes:
+        return last.drop("part", "row")
+    for more in passes:
+        last = last.unionByName(more)
+    grouped = last.groupBy("part", "row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    # spans in order of start: one that begins within what is covered so far makes that longer
+    step = lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(s)))
+    merged = grouped.withColumn("spans", F.aggregate("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)"), step))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]))
+    return merged.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans")
+
+
+def _ask(index: DataFrame, asked: Windows, slop: int) -> DataFrame:
+    """A pass over the index for one group of windows."""
+    sent = index.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs_, terms, places in rows(batches, "docs_", "terms", "places"):
-            part = Part(docs_, terms, places)
+        asked = sent.value
+        for number, docs_, terms, words, places in rows(batches, "part", "docs_", "terms", "words", "places"):
+            part = Part(docs_, terms, words, places)
             hit = np.zeros(part.length + 1, np.int32)
             pairs = []
-            for group in groups:
-                windows, sizes, first, owner = group.value
-                for w, place in part.find(windows, sizes, slop):
-                    np.add.at(hit, place, 1)
-                    np.add.at(hit, place + sizes[w], -1)
-                    doc = np.searchsorted(part.start, place, "right") - 1
-                    doc, w = np.unique(np.stack([doc, w], 1), axis=0).T
-                    many = first[w + 1] - first[w]
-                    at = np.repeat(first[w] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                    pairs.append(np.unique(np.stack([np.repeat(doc, many), owner[at]], 1), axis=0))
+            for w, place in part.find(asked, slop):
+                np.add.at(hit, place, 1)
+                np.add.at(hit, place + asked.sizes[w], -1)
+                doc = np.searchsorted(part.start, place, "right") - 1
+                doc, w = np.unique(np.stack([doc, w], 1), axis=0).T
+                many = asked.first[w + 1] - asked.first[w]
+                at = np.repeat(asked.first[w] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                pairs.append(np.unique(np.stack([np.repeat(doc, many), asked.owner[at]], 1), axis=0))
             pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
             hit = np.cumsum(hit)[:-1] > 0
             turn = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
@@ -204,7 +246,7 @@ def ask_index(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id",
             for i, item in pairs.tolist():
                 items.setdefault(i, []).append(item)
             many = range(len(part.ids))
-            cols = [part.ids, part.sizes.tolist(), [sum(s["end"] - s["start"] for s in spans.get(i, ())) for i in many], [items.get(i, []) for i in many], [spans.get(i, []) for i in many]]
+            cols = [[number] * len(many), list(many), part.ids, part.sizes.tolist(), [sum(s["end"] - s["start"] for s in spans.get(i, ())) for i in many], [items.get(i, []) for i in many], [spans.get(i, []) for i in many]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, OUT, strict=True)], schema=OUT)
 
     return index.mapInArrow(run, DDL)
