@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import tiktoken
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cinderspark.llm.common import docs_of, partitions, rows
-from cinderspark.llm.pretokens import PATTERN, split
-from cinderspark.sources.tables import new_path, written
+from cinderspark.llm.pretokens import split
+from cinderspark.sources.tables import new_path, qualified, written
 
 MAGIC = b"CTOK0001"
 HEAD = "<8sQQQQQ"
@@ -38,8 +37,8 @@ HEAD_SIZE = struct.calcsize(HEAD)
 SHARD_BYTES = 16 << 20
 
 
-def byte_ranks(spec: str) -> dict[bytes, int] | None:
-    """The merges of a byte-level BPE file as ranks of byte strings; null if ids don't follow the merges, or text is changed first."""
+def byte_letters(spec: str) -> dict[int, str] | None:
+    """The letter of each byte in a plain byte-level BPE file; None if the file changes text first or is of another kind."""
     told = json.loads(spec)
     model, cut = told["model"], told["pre_tokenizer"] or {}
     plain = model["type"] == "BPE" and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and not told["normalizer"] and not model.get("byte_fallback")
@@ -47,32 +46,34 @@ def byte_ranks(spec: str) -> dict[bytes, int] | None:
         return None
     # the published rule of byte-level files: printable bytes stand for themselves, the others for code points from 256 on
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
-    added = {t["content"] for t in told["added_tokens"]}
-    ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
-    order = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-    return ranks if order == sorted(order) and len(order) + 256 == len(ranks) else None
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
 
 
 class WordCoder:
-    """Ids of a text by a ``tokenizers`` file: its words are split off, and each new one is encoded.
+    """Ids of a text by a ``tokenizers`` file: its words are split off, and the library encodes each new one.
 
     The file's pre-tokenizer cuts at the same places, and its merges never cross them, so words may be encoded apart. Words of
-    a plain byte-level file go through its own merges as ranks, which takes a fifth of the library's time a word and gives
-    the same ids; other files' words, and texts that hold an added token's string, go to the library.
+    a plain byte-level file go straight to the library's BPE model, which spares a third of the time a word that its whole
+    chain takes; other files' words, and texts that hold an added token's string, go through the chain.
     """
 
     def __init__(self, spec: str, most: int = 450_000):
         self.coder = Tokenizer.from_str(spec)
         self.added = [t.content for t in self.coder.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4")
-        ranks = byte_ranks(spec)
-        self.piece = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece if ranks else None
+        self.letters = byte_letters(spec)
+        self.model = self.coder.model
         self.letter = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # what was known before; what is still in use moves over
         self.most = most
 
+    def words(self, listed: list[str]) -> list[list[int]]:
+        if not self.letters:
+            return [e.ids for e in self.coder.encode_batch_fast(listed, add_special_tokens=False)]
+        spelled, letters = self.model.tokenize, self.letters
+        return [[t.id for t in spelled(w.encode().decode("latin-1").translate(letters))] for w in listed]
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned numbers."""
         if not text:
@@ -90,11 +91,9 @@ class WordCoder:
             for w in old:
                 known[w] = older[w]
             new -= old
-            if new:
-                listed, letter = list(new), self.letter
-                found = map(self.piece, listed) if self.piece else (e.ids for e in self.coder.encode_batch_fast(listed, add_special_tokens=False))
-                for w, ids in zip(listed, found, strict=True):
-                    known[w] = array(letter, ids).tobytes()
+            listed, letter = list(new), self.letter
+            for w, ids in zip(listed, self.words(listed), strict=True):
+                known[w] = array(letter, ids).tobytes()
         return b"".join(map(self.known.__getitem__, words))
 
 
@@ -110,18 +109,18 @@ def coder_of(spec: str) -> WordCoder:
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system and plain path of a Hadoop-style path, as far as Arrow can reach it."""
+    """The file system and plain path of a Hadoop-style path with its scheme, as far as Arrow can reach it."""
     if ":/" not in path:
-        return fs.LocalFileSystem(), path
+        raise ValueError(f"{path} names no file system")
     scheme, rest = path.split(":", 1)
     return fs.FileSystem.from_uri(f"{scheme}:{rest if rest.startswith('//') else '//' + rest}")
 
 
-def train_dictionary(docs: DataFrame, spec: str, end_id: int, size: int = 65_536, most_docs: int = 3000, most_bytes: int = 20_000) -> bytes:
-    """A dictionary of ``size`` bytes, from the id arrays of about ``most_docs`` documents (by a hash of the id).
+def train_dictionary(docs: DataFrame, spec: str, end_id: int, size: int = 65_536, most_docs: int = 3000, piece: int = 20_000) -> bytes:
+    """A dictionary of ``size`` bytes, from the id arrays of about ``most_docs`` documents (by a hash of the id), whole.
 
-    A document longer than ``most_bytes`` lends its beginning to the dictionary; all are stored whole. With too little to
-    learn from, the dictionary is empty and documents are compressed without one.
+    A long document's array is given to the training in pieces of ``piece`` bytes. With too little to learn from, the
+    dictionary is empty and documents are compressed without one.
     """
     docs = docs.where("doc_id is not null")
     share = min(1.0, most_docs / max(docs.count(), 1))
@@ -132,7 +131,8 @@ def train_dictionary(docs: DataFrame, spec: str, end_id: int, size: int = 65_536
         coder = coder_of(sent.value)
         end = np.array([end_id], coder.dtype).tobytes()
         for (text,) in rows(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array([(coder.encode(text) + end)[:most_bytes]], pa.binary())], names=["x"])
+            data = coder.encode(text) + end
+            yield pa.RecordBatch.from_arrays([pa.array([data[i : i + piece] for i in range(0, len(data), piece)], pa.binary())], names=["x"])
 
     samples = sample.select("text").mapInArrow(make, "x binary").toArrow().column("x").to_pylist()
     with contextlib.suppress(zstandard.ZstdError):
@@ -151,7 +151,7 @@ def write_ids(docs: DataFrame, spec: str, path: str, end_id: int = 0, id_col: st
     """
     spark = docs.sparkSession
     docs = docs_of(docs, id_col, text_col)
-    dictionary = train_dictionary(docs, spec, end_id)
+    dictionary, path = train_dictionary(docs, spec, end_id), qualified(spark, path)
     system, at = file_system(path)
     system.create_dir(at, recursive=True)
     with system.open_output_stream(f"{at}/dictionary") as out:
@@ -241,6 +241,7 @@ def read_ids(manifest: DataFrame, path: str) -> DataFrame:
 
     ``start``: ids of all documents before; ``ids_le``: the ids as little-endian unsigned 32-bit numbers.
     """
+    path = qualified(manifest.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, first in rows(batches, "file", "first"):
