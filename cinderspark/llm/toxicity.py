@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspark.llm.common import docs_of, fold, rows
+from cinderspark.sources.tables import written
 
 #: Bytes to tokens: A-Z lower-cased; ASCII other than letters, digits and the apostrophe is a gap.
 GAPS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or b in b"'0123456789abcdefghijklmnopqrstuvwxyz" else 32 for b in range(256))
@@ -56,82 +57,85 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 class Seen(dict):
-    """Token to its score: that of its form that stands out most; remembered up to a bound."""
+    """Token to its score: the log-odds of its form that stands out most, either way, less the drift; remembered up to a bound."""
 
-    def __init__(self, scores: dict[bytes, tuple[float, float]], other: float):
+    def __init__(self, scores: dict[bytes, tuple[float, float]], drift: float):
         super().__init__()
-        self.scores, self.other = scores, other
+        self.scores, self.drift = scores, drift
 
     def __missing__(self, word: bytes) -> float:
         if len(self) > 200_000:
             self.clear()
         found = [self.scores[f] for f in forms_of(word) if f in self.scores]
-        s = self[word] = max(found)[1] if found else self.other
+        s = self[word] = (max(found, key=lambda f: abs(f[0]))[1] if found else 0.0) - self.drift
         return s
 
 
 class ToxicityModel:
-    """Scores of token forms with their z, the score of any other token, the Gumbel parameters of clean text, and the calibration."""
+    """Log-odds of token forms with their z, the drift, the Gumbel parameters of clean text, and the calibration."""
 
-    def __init__(self, scores: dict[bytes, tuple[float, float]], other: float, lam: float, log_k: float):
-        self.scores, self.other, self.lam, self.log_k = scores, other, lam, log_k
-        self.weights = np.array([-3.0, 1.0, 1.0, 0.0])
-        self.seen = Seen(scores, other)
+    def __init__(self, scores: dict[bytes, tuple[float, float]], drift: float, lam: float, log_k: float):
+        self.scores, self.lam, self.log_k = scores, lam, log_k
+        self.weights = np.array([-3.0, 1.0, 1.0])
+        self.seen = Seen(scores, drift)
 
     def passages(self, tokens: list[bytes], most_e: float = 0.05) -> tuple[np.ndarray, list[tuple]]:
-        """A document's measures (1, best segment's normal score, excess of all significant ones, share of positive tokens) and its significant segments."""
+        """A document's measures (1, best segment's normal score, excess of all significant ones) and its significant segments."""
         if not tokens:
-            return np.array([1.0, -5.0, 0.0, 0.0]), []
+            return np.array([1.0, -5.0, 0.0]), []
         s = np.fromiter(map(self.seen.__getitem__, tokens), np.float64, len(tokens))
         base = np.log(len(tokens)) + self.log_k
         segments = [(a, b, v, self.lam * v - base) for a, b, v in maximal_segments(s)]
         best = max((x[3] for x in segments), default=-5.0)
         significant = [(a, b, v, float(np.exp(-x))) for a, b, v, x in segments if x > -np.log(most_e)]
         excess = sum(np.log1p(max(0.0, -np.log(max(e, 1e-300)))) for *_, e in significant)
-        return np.array([1.0, np.clip(best, -5.0, 25.0), excess, float((s > 0).mean()) * 10]), significant
+        return np.array([1.0, np.clip(best, -5.0, 25.0), excess]), significant
 
     def probability(self, measures: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(measures @ self.weights, -35, 35)))
 
 
-def token_model(forms: list[bytes], toxic: np.ndarray, clean: np.ndarray, totals: tuple[float, float], prior: float = 500.0, least_z: float = 4.5, most_forms: int = 50_000) -> ToxicityModel:
-    """Log-odds of each form with an informative Dirichlet prior: the prior's mass follows the form's share of all text.
+def log_odds(t, c, n_t: float, n_c: float, prior: float, least_z: float):
+    """Columns of a form's z and shrunk log-odds, from its toxic and clean counts and all tokens' on each side.
 
-    ``totals`` are the tokens of toxic and of clean texts. Forms whose signed root of the likelihood ratio (z) reaches ``least_z`` score their log-odds, at most
-    ``most_forms`` of them; every other token drifts down by a fixed step, so that chance never adds up. Lambda solves
-    sum p exp(lambda s) = 1 over clean text.
+    The log-odds have an informative Dirichlet prior, whose mass follows the form's share of all text. z is the signed root of
+    the likelihood ratio. Log-odds shrink with it, to nothing at ``least_z``: odds * (1 - (least_z / z)^2), at least 0 of them.
     """
-    n_t, n_c = max(totals[0], 1.0), max(totals[1], 1.0)
-    alpha = prior * np.maximum(toxic + clean, 0.5) / (n_t + n_c)
-    t, c = toxic + alpha, clean + alpha
-    odds = np.log(t / np.maximum(n_t + prior - t, 1.0)) - np.log(c / np.maximum(n_c + prior - c, 1.0))
-    expected = (toxic + clean) * n_t / (n_t + n_c)
-    surprise = toxic * np.log(np.maximum(toxic, 1e-9) / np.maximum(expected, 1e-9)) + clean * np.log(np.maximum(clean, 1e-9) / np.maximum(toxic + clean - expected, 1e-9))
-    z = np.sign(odds) * np.sqrt(np.maximum(2 * surprise, 0))
-    other = -0.5
-    out = np.flatnonzero((z >= least_z) & (toxic >= 5))
-    out = out[np.argsort(-z[out], kind="stable")][:most_forms]
-    gain = np.minimum(odds[out], 8.0)
-    share = clean[out] / n_c
+    t, c = t.cast("double"), c.cast("double")
+    alpha = prior * F.greatest(t + c, F.lit(0.5)) / (n_t + n_c)
+    side = lambda n, total: F.log((n + alpha) / F.greatest(total + prior - n - alpha, F.lit(1.0)))
+    odds = side(t, n_t) - side(c, n_c)
+    expected = (t + c) * n_t / (n_t + n_c)
+    part = lambda n, e: F.when(n > 0, n * F.log(n / F.greatest(e, F.lit(1e-9)))).otherwise(0.0)
+    z = F.signum(odds) * F.sqrt(F.greatest(2 * (part(t, expected) + part(c, t + c - expected)), F.lit(0.0)))
+    return z, F.when(F.abs(z) > least_z, odds * (1 - least_z**2 / (z * z))).otherwise(0.0)
+
+
+def token_model(forms: list[bytes], z: np.ndarray, odds: np.ndarray, clean: np.ndarray, n_c: float, drift: float) -> ToxicityModel:
+    """Scores, and the lambda that solves sum p exp(lambda s) = 1 over clean text (p: forms' shares of clean tokens)."""
+    score = odds - drift
+    share = clean / max(n_c, 1.0)
     rest = max(1.0 - share.sum(), 0.05)
     lo, hi = 1e-3, 1.0
-    total = lambda x: (share * np.exp(np.minimum(x * gain, 700))).sum() + rest * np.exp(x * other)
-    if not (share > 0).any():
+    total = lambda x: (share * np.exp(np.minimum(x * score, 700))).sum() + rest * np.exp(-x * drift)
+    if not ((share > 0) & (score > 0)).any():
         lo = hi = 1.0
     while lo < hi and total(hi) < 1 and hi < 8:
         hi *= 2
     for _ in range(60):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if total(mid) < 1 else (lo, mid)
-    return ToxicityModel({forms[i]: (float(z[i]), float(g)) for i, g in zip(out.tolist(), gain, strict=True)}, other, float((lo + hi) / 2), 0.0)
+    return ToxicityModel({f: (float(a), float(b)) for f, a, b in zip(forms, z, odds, strict=True) if b}, drift, float((lo + hi) / 2), 0.0)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = 24_000) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = 24_000, prior: float = 500.0, least_z: float = 3.5, drift: float = 0.5) -> ToxicityModel:
     """Learn from a sample of about ``most_labels`` labelled rows (by a hash of the id; their whole texts).
 
     The sample's ids and labels (16 bytes each, so of a known size) are broadcast to the texts. A null label, id or text
-    teaches nothing; an id with several labels counts as toxic if one of them says so. Counts of two halves give two
-    models, each measured on the other half, for the calibration; the final scores are of both.
+    teaches nothing; an id with several labels counts as toxic if one of them says so. All forms of the sample are counted,
+    and each scores its own log-odds, shrunk by its evidence (:func:`log_odds`), less ``drift``, so that chance doesn't add
+    up; only forms whose shrunk log-odds are not 0 need to be kept, and nothing else selects them. Counts of two halves give
+    two models, each measured on the other half, for the calibration; the final scores are of both.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
     n = known.count()
@@ -158,34 +162,41 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         yield take()
 
     sides = [F.sum(F.when(F.col("side") == i, F.col("n")).otherwise(0)).alias(f"s{i}") for i in range(4)]
-    counted = sample.mapInArrow(count, "word binary, side int, n long").groupBy("word").agg(*sides)
-    # (the empty word has the totals); a form that stands out is in three toxic texts at least, and far above its share
-    got = counted.where("word = X'' or s1 + s3 >= 3").orderBy(F.expr("word <> X''"), F.desc(F.expr("(s1 + s3) / sqrt(s0 + s1 + s2 + s3)")), "word").limit(200_000).toArrow()
+    counted = written(sample.mapInArrow(count, "word binary, side int, n long").groupBy("word").agg(*sides), "forms")
+    row = counted.where("word = X''").first()
+    sums = [float(row[f"s{i}"]) for i in range(4)] if row else [0.0] * 4
+    whole = lambda n: max(n, 1.0)
+    splits = [((F.col("s1"), F.col("s0")), (sums[1], sums[0])), ((F.col("s3"), F.col("s2")), (sums[3], sums[2])), ((F.col("s1") + F.col("s3"), F.col("s0") + F.col("s2")), (sums[1] + sums[3], sums[0] + sums[2]))]
+    cols = []
+    for i, ((t, c), (n_t, n_c)) in enumerate(splits):
+        z, odds = log_odds(t, c, whole(n_t), whole(n_c), prior, least_z)
+        cols += [z.alias(f"z{i}"), odds.alias(f"o{i}"), c.cast("double").alias(f"c{i}")]
+    got = counted.where("word <> X''").select("word", *cols).where("o0 <> 0 or o1 <> 0 or o2 <> 0").orderBy("word").toArrow()
     words = got.column("word").to_pylist()
-    c = [got.column(f"s{i}").to_numpy().astype(np.float64) for i in range(4)] if words else [np.zeros(0)] * 4
-    sums = [float(x[0]) if len(x) else 0.0 for x in c]
-    words, c = words[1:], [x[1:] for x in c]
-    halves = [token_model(words, c[1], c[0], (sums[1], sums[0])), token_model(words, c[3], c[2], (sums[3], sums[2]))]
-    model = token_model(words, c[1] + c[3], c[0] + c[2], (sums[1] + sums[3], sums[0] + sums[2]))
-    sent = docs.sparkSession.sparkContext.broadcast(halves)
+    models = []
+    for i, (_, (_, n_c)) in enumerate(splits):
+        z, odds, clean = (got.column(f"{k}{i}").to_numpy() for k in "zoc")
+        models.append(token_model(words, z, odds, np.where(odds != 0, clean, 0.0), n_c, drift))
+    model = models[2]
+    sent = docs.sparkSession.sparkContext.broadcast(models[:2])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = []
         for y, half, text in rows(batches, "y", "half", "text"):
             tokens = tokens_of(text)
             m, _ = sent.value[1 - half].passages(tokens)
-            got.append((y, half, len(tokens), *m.tolist()))
-        names = ["y", "half", "n", "one", "best", "excess", "share"]
+            got.append((y, len(tokens), *m.tolist()))
+        names = ["y", "n", "one", "best", "excess"]
         yield pa.RecordBatch.from_pydict({k: [float(x[i]) for x in got] for i, k in enumerate(names)}, schema=pa.schema([(k, pa.float64()) for k in names]))
 
-    seen = sample.mapInArrow(measure, "y double, half double, n double, one double, best double, excess double, share double").toArrow()
+    seen = sample.mapInArrow(measure, "y double, n double, one double, best double, excess double").toArrow()
     if not len(seen):
         return model
-    m = np.array([seen.column(i).to_numpy() for i in range(7)]).T
-    clean = m[(m[:, 0] == 0) & (m[:, 2] > 0) & (m[:, 4] > -5)]
-    # extreme values of clean documents: lambda S - ln(K n) is Gumbel, so the mean of lambda S - ln n is ln K + gamma
-    model.log_k = float(np.clip(np.median(clean[:, 4]) + np.log(np.log(2)), -6.0, 3.0)) if len(clean) else 0.0
-    x, y = m[:, 3:].copy(), m[:, 0]
+    m = np.array([seen.column(i).to_numpy() for i in range(5)]).T
+    clean = m[(m[:, 0] == 0) & (m[:, 1] > 0) & (m[:, 3] > -5)]
+    # extreme values of clean documents: lambda S - ln(K n) is Gumbel, whose median is -ln ln 2
+    model.log_k = float(np.clip(np.median(clean[:, 3]) + np.log(np.log(2)), -6.0, 3.0)) if len(clean) else 0.0
+    x, y = m[:, 2:].copy(), m[:, 0]
     x[:, 1] = np.where(x[:, 1] > -5, np.clip(x[:, 1] - model.log_k, -5, 25), -5)
     model.weights = _logistic(x, y)
     return model
@@ -207,8 +218,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     ``passages`` are the maximal segments (token positions, end exclusive) whose E-value, the number of such segments that
     clean text of this length has by chance, is at most 0.05; ``score`` is the calibrated chance of a toxic label. Null and
-    empty texts have no tokens and the score of a text without a passage. Each row gives a row. The model has at most
-    50,000 forms and is broadcast.
+    empty texts have no tokens and the score of a text without a passage. Each row gives a row. The model holds the
+    forms that stand out in a bounded sample, and is broadcast.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
