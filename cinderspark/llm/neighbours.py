@@ -1,4 +1,8 @@
-"""Approximate nearest neighbours: additive quantisation with full-dimensional codebooks, then exact reranking."""
+"""Approximate nearest neighbours: additive quantisation with full-dimensional codebooks, then exact reranking.
+
+The index is kept in inverted lists, one for each word of the first codebook. A query is joined to its nearest lists, as many as
+a bounded sample needs for the wanted recall, scored there by table lookup, and its best candidates are reranked exactly.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +25,26 @@ class Codebooks:
     def __init__(self, words: np.ndarray):
         self.words = words  # (m, k, dim) float32
         self.flat = words.reshape(-1, words.shape[2])
+        self.probes = words.shape[1]
+
+    def lists(self, x: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` words of the first codebook that are nearest to each vector, nearest first."""
+        far = (self.words[0] ** 2).sum(1) - 2 * x.astype(np.float32) @ self.words[0].T
+        return np.argsort(far, axis=1, kind="stable")[:, :n].astype(np.int32)
+
+    def tune(self, x: np.ndarray, recall: float, k: int = 5, most: int = 400) -> None:
+        """How many lists to ask: so that ``recall`` of the sample's own nearest neighbours of ``most`` of its vectors are in them."""
+        step = max(1, len(x) // most)
+        own = np.arange(0, len(x), step)
+        near = x[own] @ x.T
+        near[np.arange(len(own)), own] = -np.inf
+        best = np.argsort(-near, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
+        home = self.lists(x, 1)[:, 0]
+        order = self.lists(x[own], self.words.shape[1])
+        place = np.argsort(order, axis=1)
+        rank = np.sort(np.take_along_axis(place, home[best].astype(np.int64), 1).ravel())
+        if len(rank):
+            self.probes = int(rank[min(len(rank) - 1, int(recall * len(rank)))]) + 1
 
     def encode(self, x: np.ndarray, beam: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """Codes (n, m) uint8 and the norms of what they stand for.
@@ -96,19 +120,22 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     return v.where(F.size("v") == (usual["n"] if usual else 0))
 
 
-def build_index(vectors: DataFrame, sample_rows: int = 20_000, m: int = 8) -> tuple[DataFrame, Codebooks | None]:
-    """The index of ``vec_id, v``: every row with its codes and stored norm, in the shared folder; and the codebooks.
+def build_index(vectors: DataFrame, sample_rows: int = 20_000, m: int = 8, recall: float = 0.985) -> tuple[DataFrame, Codebooks | None]:
+    """The index of ``vec_id, v``: every row with its list, codes and stored norm, in the shared folder; and the codebooks.
 
-    Codebooks are fitted on at most ``sample_rows`` unit vectors, the first by a hash of the id; every row is indexed.
+    Codebooks are fitted on at most ``sample_rows`` unit vectors, the first by a hash of the id, and the number of lists to
+    ask is chosen on them for the ``recall`` of lists; every row is indexed.
     """
     spark = vectors.sparkSession
     got = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toArrow().column("v")
     if not len(got):
-        return vectors.withColumns({"codes": F.lit(b""), "norm": F.lit(0.0).cast("float")}).limit(0), None
+        return vectors.withColumns({"list": F.lit(0), "codes": F.lit(b""), "norm": F.lit(0.0).cast("float")}).limit(0), None
     x = np.array(got.combine_chunks().values.to_numpy()).reshape(len(got), -1)
     scale = np.abs(x).max(1, keepdims=True)
     x = x / scale
-    books = fit_codebooks((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), m)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    books = fit_codebooks(x, m)
+    books.tune(x, recall)
     sent = spark.sparkContext.broadcast(books)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +144,9 @@ def build_index(vectors: DataFrame, sample_rows: int = 20_000, m: int = 8) -> tu
                 part = batch.slice(at, 1024)
                 x = unit(matrix(part.column("v")))
                 codes, norm = sent.value.encode(x.astype(np.float32))
-                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("v"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm, pa.float32())], names=["vec_id", "v", "codes", "norm"])
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("v"), pa.array(sent.value.lists(x, 1)[:, 0]), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm, pa.float32())], names=["vec_id", "v", "list", "codes", "norm"])
 
-    return written(vectors.mapInArrow(encode, "vec_id long, v array<double>, codes binary, norm float"), "ann"), books
+    return written(vectors.mapInArrow(encode, "vec_id long, v array<double>, list int, codes binary, norm float"), "ann"), books
 
 
 def matrix(column: pa.ListArray) -> np.ndarray:
@@ -133,77 +160,65 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of paired rows in double precision: dot product over the product of the norms."""
-    return (q * x).sum(1) / (np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1)))
-
-
-def search(index: DataFrame, books: Codebooks | None, queries: DataFrame, k: int = 5, shortlist: int = 160, block: int = 4096) -> DataFrame:
+def search(index: DataFrame, books: Codebooks | None, queries: DataFrame, k: int = 5, shortlist: int = 48, probes: int | None = None, rows_at_once: int = 8192, queries_at_once: int = 16_384) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of each query (``vec_id, v``) but itself, nearest first, ties to the smaller id.
 
-    Queries come in blocks of ``block`` (a block of 64 dimensions is 2 MB); for each, one pass over the index. A task
-    scores its codes by table lookup, over the stored norms, and reranks the ``shortlist`` best of each query in each group
-    of 8,192 rows exactly, on the original vectors; its best ``k`` go on to one small aggregation. With few candidates all
-    are reranked. Queries with repeated ids are asked once. No usable vector: an empty result.
+    Queries are joined to their ``probes`` nearest lists (by default as many as the index found to need; the number of words
+    asks all). A list is cut into pieces of about ``rows_at_once`` rows and its queries into blocks, so that a list that holds
+    a third of all vectors is many groups of bounded size. A group scores its codes by table lookup, over the stored norms, and
+    reranks exactly, on the original vectors, the ``shortlist`` best of each query and all rows that tie with the last of
+    them; its best ``k`` go on to one small aggregation. A query id that several rows have asks with the smallest vector. No
+    usable vector: an empty result.
     """
     spark = index.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if books is None:
-        return empty
-    parts, held = [], []
-
-    def ask(held: list) -> DataFrame:
-        ids = np.array([h[0] for h in held], np.int64)
-        vectors = np.array([h[1] for h in held], np.float64)
-        sent = spark.sparkContext.broadcast((ids, vectors, books))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q, books = sent.value
-            n = len(ids)
-            best_s, best_i = np.full((n, 0), -np.inf), np.zeros((n, 0), np.int64)
-            for batch in batches:
-                for at in range(0, batch.num_rows, 8192):
-                    part = batch.slice(at, 8192)
-                    vec, x = part.column("vec_id").to_numpy(), matrix(part.column("v"))
-                    codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), np.uint8).reshape(len(vec), -1)
-                    norm = part.column("norm").to_numpy()
-                    for lo in range(0, n, 128):
-                        qs = slice(lo, min(n, lo + 128))
-                        rows = np.arange(qs.stop - lo)
-                        if len(vec) > shortlist:
-                            table = books.tables(unit(q[qs]))
-                            near = sum(table[:, j][:, codes[:, j]] for j in range(codes.shape[1])) / norm
-                            near[ids[qs, None] == vec[None, :]] = -np.inf
-                            pick = np.argpartition(-near, shortlist - 1, axis=1)[:, :shortlist]
-                        else:
-                            pick = np.broadcast_to(np.arange(len(vec)), (len(rows), len(vec)))
-                        a = np.repeat(rows, pick.shape[1])
-                        exact = cosine(q[qs][a], x[pick.ravel()]).reshape(pick.shape)
-                        found = vec[pick]
-                        exact = np.where(found == ids[qs, None], -np.inf, exact)
-                        yield_s, yield_i = np.concatenate([best_s[qs], exact], 1), np.concatenate([best_i[qs], found], 1)
-                        top = np.lexsort((yield_i, -yield_s), axis=1)[:, :k]
-                        if best_s.shape[1] < k and lo == 0:
-                            grow = min(k, best_s.shape[1] + pick.shape[1]) - best_s.shape[1]
-                            best_s, best_i = np.pad(best_s, ((0, 0), (0, grow)), constant_values=-np.inf), np.pad(best_i, ((0, 0), (0, grow)))
-                        best_s[qs, : top.shape[1]], best_i[qs, : top.shape[1]] = np.take_along_axis(yield_s, top, 1)[:, : best_s.shape[1]], np.take_along_axis(yield_i, top, 1)[:, : best_s.shape[1]]
-            a, b = np.nonzero(best_s > -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(best_i[a, b]), pa.array(best_s[a, b])], schema=FOUND)
-
-        return index.select("vec_id", "v", "codes", "norm").mapInArrow(run, "query_id long, vec_id long, score double")
-
-    for row in queries.dropDuplicates(["vec_id"]).toLocalIterator():
-        held.append((row["vec_id"], row["v"]))
-        if len(held) >= block:
-            parts.append(ask(held))
-            held = []
-    if held:
-        parts.append(ask(held))
-    if not parts:
-        return empty
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sent = spark.sparkContext.broadcast(books)
+    probes = probes or books.probes
+    cuts = {r["list"]: -(-r["n"] // rows_at_once) for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row a word
+    pieces = F.coalesce(F.create_map(*(F.lit(v) for kv in cuts.items() for v in kv))[F.col("list")], F.lit(0)) if cuts else F.lit(0)
+    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    blocks = max(1, -(-asked.count() // queries_at_once))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                near = sent.value.lists(unit(matrix(part.column("v"))), probes)
+                own = np.repeat(np.arange(part.num_rows), near.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), part.column("vec_id").take(pa.array(own)), part.column("v").take(pa.array(own))], names=["list", "vec_id", "v"])
+
+    def group(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        books, out = sent.value, []
+        if not rows.num_rows or not asked.num_rows:
+            return FOUND.empty_table()
+        vec, x = rows.column("vec_id").to_numpy(), matrix(rows.column("v").combine_chunks())
+        ids, q = asked.column("vec_id").to_numpy(), matrix(asked.column("v").combine_chunks())
+        codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(len(vec), -1)
+        norm = rows.column("norm").to_numpy()
+        length = np.sqrt((x * x).sum(1))
+        for lo in range(0, len(ids), 64):
+            own = ids[lo : lo + 64]
+            table = books.tables(unit(q[lo : lo + 64]))
+            near = sum(table[:, j][:, codes[:, j]] for j in range(codes.shape[1])) / norm
+            near[own[:, None] == vec[None, :]] = -np.inf
+            if len(vec) > shortlist:
+                least = np.partition(near, len(vec) - shortlist, axis=1)[:, len(vec) - shortlist, None]
+            else:
+                least = np.full((len(own), 1), -np.inf)
+            a, b = np.nonzero((near >= least) & (near > -np.inf))
+            exact = np.concatenate([(q[lo + a[i : i + 100_000]] * x[b[i : i + 100_000]]).sum(1) / (np.sqrt((q[lo + a[i : i + 100_000]] ** 2).sum(1)) * length[b[i : i + 100_000]]) for i in range(0, len(a), 100_000)] or [np.zeros(0)])
+            order = np.lexsort((vec[b], -exact, a))
+            first = np.searchsorted(a[order], np.arange(len(own)))
+            keep = order[np.arange(len(order)) - first[a[order]] < k]
+            out.append(pa.Table.from_arrays([pa.array(own[a[keep]]), pa.array(vec[b[keep]]), pa.array(exact[keep])], schema=FOUND))
+        return pa.concat_tables(out)
+
+    piece = F.when(pieces > 1, F.pmod(F.xxhash64("vec_id", F.lit(3)), pieces)).otherwise(F.lit(0)).cast("int")
+    left = index.withColumn("piece", piece).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.mapInArrow(deal, "list int, vec_id long, v array<double>").where(pieces > 0).withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(blocks)).cast("int"))
+    key = ["list", "piece", "block"]
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(group, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -213,5 +228,3 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     index, books = build_index(vectors)
     return search(index, books, index.where("vec_id % 50 = 0").select("vec_id", "v"))
-
-

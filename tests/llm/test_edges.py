@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 
@@ -77,21 +78,38 @@ def test_vectors(spark):
     assert neighbours.search(index, books, v.select("vec_id", "v")).count() == 0
 
 
-def test_neighbours_recall(spark):
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(1500, 16)) + 3 * rng.normal(size=(20, 16))[rng.integers(0, 20, 1500)]
-    v = neighbours.usable(spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>"))
-    index, books = neighbours.build_index(v, m=4)
+def _recall(spark, x, **how):
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<double>")
+    index, books = neighbours.build_index(neighbours.usable(table), sample_rows=6000)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     found = {}
-    for r in neighbours.search(index, books, index.where("vec_id % 50 = 0").select("vec_id", "v")).collect():
+    for r in neighbours.search(index, books, index.where("vec_id % 500 = 0").select("vec_id", "v"), **how).orderBy("rank").collect():
         found.setdefault(r["query_id"], []).append(r["vec_id"])
     hits = 0
     for q, got in found.items():
         s = u @ u[q]
         s[q] = -2
-        hits += len(set(np.argsort(-s)[:5]) & set(got))
-    assert len(found) == 30 and hits / 150 >= 0.9
+        hits += len(set(np.lexsort((np.arange(len(s)), -s))[:5]) & set(got))
+    assert len(found) == -(-len(x) // 500)
+    return hits / (5 * len(found)), books, found
+
+
+def test_neighbours_recall(spark):
+    """50,000 vectors in groups around centres, and none: the lists and the shortlist lose few neighbours."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50_000, 32)) + 2 * rng.normal(size=(300, 32))[rng.integers(0, 300, 50_000)]
+    recall, books, _ = _recall(spark, x)
+    assert recall >= 0.9 and books.probes < 256
+    assert _recall(spark, rng.normal(size=(20_000, 24)))[0] >= 0.9
+
+
+def test_neighbours_of_many_copies(spark):
+    """Of thousands of equal vectors in one list, in many pieces, the smallest ids come first."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6000, 8))
+    x[1000:4000] = x[0]
+    _, _, found = _recall(spark, x, rows_at_once=500, queries_at_once=4)
+    assert found[0] == [1000, 1001, 1002, 1003, 1004] and found[2000] == [0, 1000, 1001, 1002, 1003]
 
 
 def test_crc_folds(spark):
