@@ -71,6 +71,23 @@ class Seen(dict):
         return s
 
 
+def measures(normal: np.ndarray) -> np.ndarray:
+    """Of the normal scores of a document's segments: 1, that of the best, and the surprise of the best r together, for the best r.
+
+    Scores of segments of clean text are extreme values. The sum T of the r best of them is reached by chance with about
+    exp(-T) T^(r-1) / (r! (r-1)!), so that passages which are weak one by one count together.
+    """
+    if not len(normal):
+        return np.array([1.0, -5.0, -5.0])
+    v = np.sort(normal)[::-1]
+    r = np.arange(1, len(v) + 1)
+    total = np.cumsum(v)
+    lower = np.r_[0.0, np.cumsum(np.log(r))]  # ln of factorials
+    fits = total > np.maximum(r - 1, 1e-9)
+    surprise = np.where(fits, total - (r - 1) * np.log(np.maximum(total, 1e-9)) + lower[1:] + lower[:-1], -5.0)
+    return np.array([1.0, np.clip(v[0], -5.0, 25.0), np.clip(surprise.max(), -5.0, 25.0)])
+
+
 class ToxicityModel:
     """Log-odds of token forms with their z, the drift, the Gumbel parameters of clean text, and the calibration."""
 
@@ -79,27 +96,29 @@ class ToxicityModel:
         self.weights = np.array([-3.0, 1.0, 1.0])
         self.seen = Seen(scores, drift)
 
-    def passages(self, tokens: list[bytes], most_e: float = 0.05) -> tuple[np.ndarray, list[tuple]]:
-        """A document's measures (1, best segment's normal score, excess of all significant ones) and its significant segments."""
+    def segments(self, tokens: list[bytes]) -> tuple[list[tuple[int, int, float]], np.ndarray]:
+        """All maximal segments, and their normal scores before K: lambda S - ln n."""
         if not tokens:
-            return np.array([1.0, -5.0, 0.0]), []
-        s = np.fromiter(map(self.seen.__getitem__, tokens), np.float64, len(tokens))
-        base = np.log(len(tokens)) + self.log_k
-        segments = [(a, b, v, self.lam * v - base) for a, b, v in maximal_segments(s)]
-        best = max((x[3] for x in segments), default=-5.0)
-        significant = [(a, b, v, float(np.exp(-x))) for a, b, v, x in segments if x > -np.log(most_e)]
-        excess = sum(np.log1p(max(0.0, -np.log(max(e, 1e-300)))) for *_, e in significant)
-        return np.array([1.0, np.clip(best, -5.0, 25.0), excess]), significant
+            return [], np.zeros(0)
+        found = maximal_segments(np.fromiter(map(self.seen.__getitem__, tokens), np.float64, len(tokens)))
+        return found, self.lam * np.array([v for *_, v in found]) - np.log(len(tokens))
+
+    def passages(self, tokens: list[bytes], most_e: float = 0.05) -> tuple[np.ndarray, list[tuple]]:
+        """A document's measures and its significant segments with their E-values."""
+        found, normal = self.segments(tokens)
+        normal = normal - self.log_k
+        significant = [(a, b, v, float(np.exp(-x))) for (a, b, v), x in zip(found, normal.tolist(), strict=True) if x > -np.log(most_e)]
+        return measures(normal), significant
 
     def probability(self, measures: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(measures @ self.weights, -35, 35)))
 
 
 def log_odds(t, c, n_t: float, n_c: float, prior: float, least_z: float):
-    """Columns of a form's z and shrunk log-odds, from its toxic and clean counts and all tokens' on each side.
+    """Columns of a form's z and log-odds, from its toxic and clean counts and all tokens' on each side.
 
-    The log-odds have an informative Dirichlet prior, whose mass follows the form's share of all text. z is the signed root of
-    the likelihood ratio. Log-odds shrink with it, to nothing at ``least_z``: odds * (1 - (least_z / z)^2), at least 0 of them.
+    The log-odds have an informative Dirichlet prior, whose mass follows the form's share of all text; they are cut at 8 either
+    way. z is the signed root of the likelihood ratio. Where it doesn't reach ``least_z`` either way, the log-odds are 0.
     """
     t, c = t.cast("double"), c.cast("double")
     alpha = prior * F.greatest(t + c, F.lit(0.5)) / (n_t + n_c)
@@ -108,7 +127,7 @@ def log_odds(t, c, n_t: float, n_c: float, prior: float, least_z: float):
     expected = (t + c) * n_t / (n_t + n_c)
     part = lambda n, e: F.when(n > 0, n * F.log(n / F.greatest(e, F.lit(1e-9)))).otherwise(0.0)
     z = F.signum(odds) * F.sqrt(F.greatest(2 * (part(t, expected) + part(c, t + c - expected)), F.lit(0.0)))
-    return z, F.when(F.abs(z) > least_z, odds * (1 - least_z**2 / (z * z))).otherwise(0.0)
+    return z, F.when(F.abs(z) >= least_z, F.greatest(F.lit(-8.0), F.least(odds, F.lit(8.0)))).otherwise(0.0)
 
 
 def token_model(forms: list[bytes], z: np.ndarray, odds: np.ndarray, clean: np.ndarray, n_c: float, drift: float) -> ToxicityModel:
@@ -128,13 +147,14 @@ def token_model(forms: list[bytes], z: np.ndarray, odds: np.ndarray, clean: np.n
     return ToxicityModel({f: (float(a), float(b)) for f, a, b in zip(forms, z, odds, strict=True) if b}, drift, float((lo + hi) / 2), 0.0)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = 24_000, prior: float = 500.0, least_z: float = 3.5, drift: float = 0.5) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = 24_000, prior: float = 500.0, least_z: float = 4.0, drift: float = 0.1) -> ToxicityModel:
     """Learn from a sample of about ``most_labels`` labelled rows (by a hash of the id; their whole texts).
 
     The sample's ids and labels (16 bytes each, so of a known size) are broadcast to the texts. A null label, id or text
     teaches nothing; an id with several labels counts as toxic if one of them says so. All forms of the sample are counted,
-    and each scores its own log-odds, shrunk by its evidence (:func:`log_odds`), less ``drift``, so that chance doesn't add
-    up; only forms whose shrunk log-odds are not 0 need to be kept, and nothing else selects them. Counts of two halves give
+    and each scores its own log-odds, toxic or clean, where its evidence reaches ``least_z`` (:func:`log_odds`), less
+    ``drift``, so that chance doesn't add up; only forms whose log-odds are not 0 need to be kept, and nothing else selects
+    them. Counts of two halves give
     two models, each measured on the other half, for the calibration; the final scores are of both.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -181,35 +201,38 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     sent = docs.sparkSession.sparkContext.broadcast(models[:2])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = []
-        for y, half, text in rows(batches, "y", "half", "text"):
-            tokens = tokens_of(text)
-            m, _ = sent.value[1 - half].passages(tokens)
-            got.append((y, len(tokens), *m.tolist()))
-        names = ["y", "n", "one", "best", "excess"]
-        yield pa.RecordBatch.from_pydict({k: [float(x[i]) for x in got] for i, k in enumerate(names)}, schema=pa.schema([(k, pa.float64()) for k in names]))
+        got = [(float(y), sent.value[1 - half].segments(tokens_of(text))[1].tolist()) for y, half, text in rows(batches, "y", "half", "text")]
+        yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], k) for i, k in enumerate((pa.float64(), pa.list_(pa.float64())))], names=["y", "normal"])
 
-    seen = sample.mapInArrow(measure, "y double, n double, one double, best double, excess double").toArrow()
+    seen = sample.mapInArrow(measure, "y double, normal array<double>").toArrow()
     if not len(seen):
         return model
-    m = np.array([seen.column(i).to_numpy() for i in range(5)]).T
-    clean = m[(m[:, 0] == 0) & (m[:, 1] > 0) & (m[:, 3] > -5)]
+    y, normal = seen.column("y").to_numpy(), [np.array(v) for v in seen.column("normal").to_pylist()]
+    best = [v.max() for v, t in zip(normal, y, strict=True) if t == 0 and len(v)]
     # extreme values of clean documents: lambda S - ln(K n) is Gumbel, whose median is -ln ln 2
-    model.log_k = float(np.clip(np.median(clean[:, 3]) + np.log(np.log(2)), -6.0, 3.0)) if len(clean) else 0.0
-    x, y = m[:, 2:].copy(), m[:, 0]
-    x[:, 1] = np.where(x[:, 1] > -5, np.clip(x[:, 1] - model.log_k, -5, 25), -5)
-    model.weights = _logistic(x, y)
+    model.log_k = float(np.clip(np.median(best) + np.log(np.log(2)), -6.0, 3.0)) if best else 0.0
+    model.weights = _logistic(np.array([measures(v - model.log_k) for v in normal]), y)
     return model
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; slopes are not negative, so a more toxic measure never lowers a score."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 60) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, halved until they help; slopes are not negative, so a more toxic measure never lowers a score."""
     w = np.zeros(x.shape[1])
+    loss = lambda w: np.logaddexp(0, -(2 * y - 1) * (x @ w)).sum() + ridge * (w @ w) / 2
+    now = loss(w)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w = w - np.linalg.solve(h, x.T @ (p - y) + ridge * w)
-        w[1:] = np.maximum(w[1:], 0)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (p - y) + ridge * w)
+        size = 1.0
+        while size > 1e-4:
+            new = w - size * step
+            new[1:] = np.maximum(new[1:], 0)
+            if loss(new) < now - 1e-9:
+                break
+            size /= 2
+        else:
+            break
+        w, now = new, loss(new)
     return w
 
 

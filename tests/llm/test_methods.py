@@ -1,6 +1,7 @@
 """Each operator against a plain brute-force version on small tables."""
 
 import collections
+import math
 import random
 import re
 import string
@@ -172,7 +173,7 @@ def test_maximal_segments_equal_their_definition():
 def test_log_odds_equal_their_formula(spark):
     rows = [(30, 5), (2, 400), (0, 90), (50, 480), (1, 0)]
     t, c = F.col("t"), F.col("c")
-    z, odds = toxicity.log_odds(t, c, 1000.0, 9000.0, 500.0, 3.5)
+    z, odds = toxicity.log_odds(t, c, 1000.0, 9000.0, 500.0, 4.0)
     got = spark.createDataFrame(rows, "t long, c long").select("t", "c", z.alias("z"), odds.alias("o")).collect()
     for r in got:
         alpha = 500 * (r["t"] + r["c"]) / 10_000
@@ -180,7 +181,11 @@ def test_log_odds_equal_their_formula(spark):
         e = (r["t"] + r["c"]) * 0.1
         g = sum(n * np.log(n / x) for n, x in ((r["t"], e), (r["c"], r["t"] + r["c"] - e)) if n)
         want = np.sign(plain) * np.sqrt(max(2 * g, 0))
-        assert r["z"] == pytest.approx(want) and r["o"] == pytest.approx(plain * max(0, 1 - 3.5**2 / want**2))
+        assert r["z"] == pytest.approx(want) and r["o"] == pytest.approx(np.clip(plain, -8, 8) if abs(want) >= 4 else 0)
+    # the best three of four segments by the plain formula
+    v, t = [3.0, 2.0, 2.5, -4.0], [3.0, 5.5, 7.5]
+    want = max(x - r * np.log(x) + np.log(math.factorial(r + 1) * math.factorial(r)) for r, x in enumerate(t))
+    assert toxicity.measures(np.array(v)).tolist() == pytest.approx([1.0, 3.0, want])
     model = toxicity.token_model([b"bad", b"fine"], np.array([9.0, -9.0]), np.array([3.0, -1.0]), np.array([10.0, 500.0]), 10_000.0, 0.5)
     share = {2.5: 0.001, -1.5: 0.05, -0.5: 0.949}
     assert sum(p * np.exp(model.lam * s) for s, p in share.items()) == pytest.approx(1, abs=1e-6)
