@@ -359,10 +359,137 @@ def test_id_files_give_short_access(spark, tmp_path):
         token_store.IdFile(path, files[0], b"another")
 
 
-def test_pipeline_stages(spark):
-    import corpus_pipeline
+def test_language_decoding_equals_its_definition(spark):
+    rng = random.Random(5)
+    parts = {"aa": ["tha", "ing", "er"], "bb": ["eau", "oux", "é"], "cc": ["sch", "ung", "ü"], "dd": ["que", "ñ", "ado"]}
+    rows = [(i, k, " ".join("".join(rng.choices(parts[k], k=3)) for _ in range(rng.randint(2, 20)))) for i, k in enumerate(rng.choices(list(parts), k=240))]
+    rows += [(1000, None, "0 1 2 3 !!"), (1001, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.fit_languages(docs)
+    got = {r["doc_id"]: r for r in language.predict_languages(docs, model).collect()}
+    for i, _, text in rows[::7]:
+        if i >= 1000:
+            continue
+        margins = [sum(float(a) * float(b) for a, b in zip(language.features([text])[0], w, strict=True)) + float(c) for w, c in zip(model.weights.T, model.bias, strict=True)]
+        loss = [sum(float(t) * math.log1p(math.exp(-m * int(bit))) for t, m, bit in zip(model.trust, margins, word, strict=True)) for word in model.code]
+        best = min(range(len(loss)), key=loss.__getitem__)
+        assert got[i]["lang_pred"] == model.languages[best] and got[i]["distance"] == pytest.approx(loss[best], abs=1e-3)
+        assert got[i]["codeword"] == "".join("1" if m > 0 else "0" for m in margins)
+        assert got[i]["near"] == (got[i]["distance"] <= model.reach)
+    assert not got[1000]["near"] and got[1001]["lang_pred"] == "und"
+
+
+@pytest.fixture(scope="module")
+def small(spark, tmp_path_factory):
+    """A folder with documents and a benchmark that every stage of the pipeline has something to do on."""
+    rng = random.Random(11)
+    vocab = {k: ["".join(rng.choices(v, k=rng.randint(1, 4))) for _ in range(300)] for k, v in {"en": ["th", "ing", "er", "on"], "fr": ["eau", "oux", "é", "ment"]}.items()}
+    lang = [rng.choice(["en", "fr"]) for _ in range(120)]
+    made = ["\n".join(" ".join(rng.choices(vocab[k], k=rng.randint(8, 25))) for _ in range(4)) for k in lang]
+    bench = [" ".join(rng.choices(vocab["en"], k=20)) for _ in range(6)]
+    shared = "this line of a licence is found in very many of the documents here"
+    for i in range(0, 60, 6):
+        made[i] += "\n" + shared
+    for i in range(3, 40, 9):  # a passage, in a document long enough for it to be a small part
+        made[i] += " " + " ".join(bench[i % 6].split()[2:17]) + " " + " ".join(rng.choices(vocab["en"], k=500))
+    for i in range(100, 110):  # near copies
+        w = made[i - 90].split(" ")
+        w[rng.randrange(len(w))] = "changed"
+        made[i] = " ".join(w)
+    rows = [(i, t, k, f"s{i % 3}", len(t)) for i, (t, k) in enumerate(zip(made, lang, strict=True))]
+    rows += [(500, None, None, None, None), (501, "12 34 !!", None, "s", 8), (501, made[7] + " more", "en", "s", 1), (None, made[8] + " other end", "en", "s", 1), (502, "", "en", None, 0)]
+    at = str(tmp_path_factory.mktemp("small"))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([*enumerate(bench), (7, None), (None, "a null id asks nothing")], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    return at, rows, bench
+
+
+def test_pipeline_language_stage(spark, small):
+    import corpus_pipeline as C
+
+    at, rows, _ = small
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    got = C.keep_known_languages(spark, docs, at)
+    assert got.columns == docs.columns
+    want = sorted(str((r[0], r[1])) for r in rows if r[1] and any(c.isalpha() for c in r[1]))
+    assert sorted(str((r["doc_id"], r["text"])) for r in got.collect()) == want
+    assert C.keep_known_languages(spark, docs.where("false"), at).count() == 0
+
+
+def test_pipeline_line_stage(spark, small):
+    import corpus_pipeline as C
+
+    at, rows, _ = small
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    key = lambda s: s.strip(" \t\n\x0b\x0c\r").lower()
+    holders = collections.defaultdict(set)
+    for i, t, *_ in rows:
+        for s in (t or "").split("\n"):
+            if len(key(s)) >= 40 and i is not None:
+                holders[key(s)].add(i)
+    gone = {k: max(v) for k, v in holders.items() if len(v) >= 5}
+    want = ["\n".join(s for s in (t or "").split("\n") if i is None or gone.get(key(s), i) == i) for i, t, *_ in rows]
+    got = C.drop_repeated_lines(spark, docs, at)
+    assert got.columns == docs.columns and gone
+    assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == sorted((t, len(t)) for t in want)
+
+
+def test_pipeline_near_duplicate_stage(spark, small):
+    import corpus_pipeline as C
+
+    at, rows, _ = small
+    docs = spark.read.parquet(f"{at}/documents.parquet").where("doc_id is null or doc_id < 500")
+    kept = [r for r in rows if r[0] is None or r[0] < 500]
+    sets = {r[0]: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for r in kept if (w := (r[1] or "").lower().split()) and r[0] is not None}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = {k: min(a, b) if r in (a, b) else r for k, r in root.items()}
+    got = C.keep_one_of_each_group(spark, docs, at)
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(str(r[0]) for r in kept if root.get(r[0], r[0]) == r[0])
+    assert any(root[i] != i for i in root)
+
+
+def test_pipeline_decontamination_stage(spark, small):
+    import corpus_pipeline as C
+
+    at, rows, bench = small
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    windows = {tuple(w[i : i + 13]) for b in bench for w in [words(b)] for i in range(len(w) - 12)}
+    held = lambda t: any(tuple(w[i : i + 13]) in windows for w in [words(t)] for i in range(len(w) - 12))
+    got = C.drop_benchmark_passages(spark, docs, at)
+    assert sorted(str((r["doc_id"], r["text"])) for r in got.collect()) == sorted(str((r[0], r[1])) for r in rows if not held(r[1]))
+    assert sum(held(r[1]) for r in rows) >= 5
+
+
+def test_pipeline_empty_benchmark(spark, small, tmp_path):
+    import corpus_pipeline as C
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{small[0]}/documents.parquet")
+    assert C.drop_benchmark_passages(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_pipeline_encoding_stage(spark, small):
+    import hashlib
+
+    import corpus_pipeline as C
+
+    at, rows, _ = small
+    coder = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    got = C.encode(spark, spark.read.parquet(f"{at}/documents.parquet"), at).collect()
+    want = [(r[0], coder.encode_ordinary(r[1] or ""), hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in rows]
+    assert sorted(str((r["doc_id"], r["n_tokens"], r["ids"], r["decoded_sha256"])) for r in got) == sorted(str((i, len(t), t, h)) for i, t, h in want)
+
+
+def test_pipeline_run(spark, small):
+    import corpus_pipeline as C
 
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "line dedup", "near duplicates", "decontamination", "bpe"]
-    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert got.columns == ["doc_id", "n_tokens", "ids"] and 100 < got.count() <= 200
-    assert re.match("bigint", dict(got.dtypes)["doc_id"])
+    assert [n for n, _ in C.STAGES] == ["language", "line dedup", "near duplicates", "decontamination", "bpe"]
+    got = C.run(spark, small[0])
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    ids = [r["doc_id"] for r in got.collect()]
+    assert 80 < len(ids) < len(small[1]) and 500 not in ids and 3 not in ids and 0 in ids
