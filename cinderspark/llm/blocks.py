@@ -99,9 +99,9 @@ def numbered(split: Callable[[str], list]) -> Callable:
     return run
 
 
-def numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Numbers the white-space-bounded words of a block's texts (A-Z lower-cased)."""
-    return numbered_hashes([t.encode() for t in texts])[:3]
+def numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Numbers the white-space-bounded words of a block's texts (A-Z lower-cased); with their hashes."""
+    return numbered_hashes([t.encode() for t in texts])
 
 
 def numbered_hashes(texts: list[bytes], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
@@ -127,8 +127,8 @@ def numbered_hashes(texts: list[bytes], most: int = 1 << 20) -> tuple[np.ndarray
     return number.astype(np.uint32), np.concatenate([np.diff(p[4]) for p in parts]).astype(np.uint32), words, value
 
 
-def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Callable[[int | None, str], int] | None = None, bucket: Callable[[bytes, int], int] = bucket_of, most_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
-    """Frames and word rows of ``docs(doc_id, text)``; ``number`` gives a block's token numbers, tokens a text, and tokens (str or bytes).
+def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Callable[[int | None, str], int] | None = None, most_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
+    """Frames and word rows of ``docs(doc_id, text)``; ``number`` gives a block's token numbers, tokens a text, tokens (str or bytes), and it may give their hashes, which then say the buckets.
 
     A frame packs doc ids, whether an id is null, tokens a document, token numbers, and the bucket of each number; then
     ``extra``'s number for each document. With ``extra``, word rows carry how often each word stands in documents whose
@@ -145,7 +145,7 @@ def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Call
         def take() -> pa.RecordBatch:
             nonlocal seq, chars
             block, seq = task << 24 | seq, seq + 1
-            flat, sizes, words = number(texts)
+            flat, sizes, words, *hashes = number(texts)
             marks = np.array([extra(i, t) if extra else 0 for i, t in zip(ids, texts, strict=True)], np.uint8)
             texts.clear()
             count = np.bincount(flat, minlength=len(words))
@@ -153,7 +153,7 @@ def to_blocks(docs: DataFrame, number: Callable[[list[str]], tuple], extra: Call
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
             listed = [w if isinstance(w, bytes) else w.encode() for w in (words[i] for i in order.tolist())]
-            to = np.fromiter((bucket(w, buckets) for w in listed), np.uint16, len(listed))
+            to = (hashes[0][order] % np.uint64(buckets)).astype(np.uint16) if hashes else np.fromiter((bucket_of(w, buckets) for w in listed), np.uint16, len(listed))
             flat = rank[flat]
             arrays = [np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), sizes, flat, to, marks]
             out = [((task + (seq - 1) * 7919) & 0x7FFFFFFF, block, -1, pack(*arrays))]  # blocks of a task go to different places
