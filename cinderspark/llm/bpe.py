@@ -20,6 +20,8 @@ from cinderspark.llm.common import docs_of
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 #: Token ids that are put together at a time.
 STEP = 400_000
+#: Words that a task remembers the ids of; beyond, it begins anew.
+MOST_KNOWN = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,8 +34,8 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
     """``doc_id, ids array<int>``: the BPE ids of each whole text, without special tokens; with ``decode``, also their bytes.
 
     Texts are split by ``pattern`` where they are; a block of documents becomes token numbers and its distinct words. The
-    words are shuffled by hash, so that each distinct word is encoded once in a task that holds all its blocks' rows; the
-    ids go back to the blocks and are put in place by position. Shuffled are packed numbers and distinct words, no texts.
+    words are shuffled by hash, so that each distinct word is encoded once in the task that all its blocks' rows come to (which
+    remembers a bounded number of words); the ids go back to the blocks and are put in place by position. Shuffled are packed numbers and distinct words, no texts.
     The rank table has a fixed size and is broadcast.
 
     Null or empty text has no ids. Null and repeated ids are kept: each row gives a row. Very long texts make a block of
@@ -50,7 +52,9 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
             for word in unpack_words(data):
                 ids = known.get(word)
                 if ids is None:
-                    ids = known[word] = coder._encode_single_piece(word)
+                    if len(known) >= MOST_KNOWN:
+                        known.clear()
+                    ids = known[word] = coder.encode_ordinary(word.decode())  # (a match alone is one match)
                 found.append(ids)
             sizes = np.fromiter(map(len, found), np.uint32, len(found))
             return pack(sizes, np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())))
