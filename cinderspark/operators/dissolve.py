@@ -37,23 +37,28 @@ def _cuts(a: np.ndarray, box: tuple[float, float, float, float]) -> list[np.ndar
     cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
     length = (d**2).sum(1)
     near = 1e-9 * np.sqrt(length.max(initial=1.0))
-    out = []
+    out: list[np.ndarray] = []
+    step = max(1, 2_000_000 // max(1, len(a)))
     with np.errstate(divide="ignore", invalid="ignore"):
-        for i in range(len(a)):
-            low, high = np.minimum(a[i, :2], a[i, 2:]) - near, np.maximum(a[i, :2], a[i, 2:]) + near
-            j = np.flatnonzero((np.maximum(a[:, 0], a[:, 2]) >= low[0]) & (np.minimum(a[:, 0], a[:, 2]) <= high[0]) & (np.maximum(a[:, 1], a[:, 3]) >= low[1]) & (np.minimum(a[:, 1], a[:, 3]) <= high[1]))
-            w = p[j] - p[i]
-            den = cross(d[i], d[j])
-            t, u = cross(w, d[j]) / den, cross(w, d[i]) / den
-            ts = [t[(den != 0) & (u >= -1e-12) & (u <= 1 + 1e-12)]]
-            for q in (p[j], a[j, 2:]):  # ends of others that lie on this side
-                v = q - p[i]
-                ts.append(((v * d[i]).sum(1) / length[i])[np.abs(cross(d[i], v)) <= near * np.sqrt(length[i])])
+        for at in range(0, len(a), step):  # some sides against all
+            own = slice(at, at + step)
+            d_i, p_i, len_i = d[own, None], p[own, None], length[own, None]
+            w = p[None] - p_i
+            den = cross(d_i, d[None])
+            t, u = cross(w, d[None]) / den, cross(w, d_i) / den
+            t = np.where((den != 0) & (u >= -1e-12) & (u <= 1 + 1e-12), t, np.nan)
+            parts = [t]
+            for q in (p, a[:, 2:]):  # ends of others that lie on this side
+                v = q[None] - p_i
+                parts.append(np.where(np.abs(cross(d_i, v)) <= near * np.sqrt(len_i), (v * d_i).sum(2) / len_i, np.nan))
             for k in (0, 1):
-                ts.append((np.array([box[k], box[k + 2]]) - p[i, k]) / d[i, k])
-            t = np.concatenate(ts)
-            t = np.unique(np.round(t[(t > 1e-12) & (t < 1 - 1e-12)], 12))
-            out.append(np.r_[0.0, t, 1.0])
+                parts.append((np.array([box[k], box[k + 2]])[None] - p[own, k, None]) / d[own, k, None])
+            every = np.concatenate(parts, 1)
+            every[~((every > 1e-12) & (every < 1 - 1e-12))] = np.nan
+            every = np.sort(np.round(every, 12), axis=1)
+            for row, n in zip(every, np.isfinite(every).sum(1).tolist(), strict=True):
+                t = row[:n]
+                out.append(np.r_[0.0, t[np.r_[True, t[1:] != t[:-1]]] if n else t, 1.0])
     return out
 
 
@@ -114,7 +119,7 @@ def union_area(layer: DataFrame, key: str, cell: float, geom: str = "geom") -> D
 
 
 def linked(a: np.ndarray) -> list[np.ndarray]:
-    """Closed rings of directed pieces; where several leave a point, the sharpest turn to the right keeps rings simple."""
+    """Closed rings of directed pieces; where several leave a point, the sharpest turn to the left stays with the same polygon."""
     leaving: dict[tuple, list[tuple]] = {}
     for x0, y0, x1, y1 in a.tolist():
         leaving.setdefault((x0, y0), []).append((x1, y1))
@@ -129,7 +134,7 @@ def linked(a: np.ndarray) -> list[np.ndarray]:
             to = ways[0]
             if len(ways) > 1 and came is not None:
                 turn = lambda q: np.arctan2(came[0] * (q[1] - at[1]) - came[1] * (q[0] - at[0]), came[0] * (q[0] - at[0]) + came[1] * (q[1] - at[1]))  # noqa: B023, E731
-                to = min(ways, key=turn)
+                to = max(ways, key=turn)
             ways.remove(to)
             if not ways:
                 del leaving[at]

@@ -102,21 +102,25 @@ def contains(polygons: Polygons, points: np.ndarray) -> np.ndarray:
     return inside
 
 
-def _clip(ring: np.ndarray, triangle: np.ndarray) -> np.ndarray:
-    """A convex ring cut to a counter-clockwise triangle (both open)."""
-    for a, b in zip(triangle, np.roll(triangle, -1, 0), strict=True):
-        if not len(ring):
-            break
-        side = (b[0] - a[0]) * (ring[:, 1] - a[1]) - (b[1] - a[1]) * (ring[:, 0] - a[0])
+def _clip(ring: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """A convex ring cut to a counter-clockwise convex one (both open); in plain numbers, as rings have a handful of points."""
+    points, sides = ring.tolist(), other.tolist()
+    for i, (bx, by) in enumerate(sides):
+        ax, ay = sides[i - 1]
+        dx, dy = bx - ax, by - ay
+        side = [dx * (y - ay) - dy * (x - ax) for x, y in points]
         out = []
-        for i in range(len(ring)):
-            j = (i + 1) % len(ring)
-            if side[i] >= 0:
-                out.append(ring[i])
-            if (side[i] > 0) != (side[j] > 0) and side[i] != side[j] and side[i] * side[j] < 0:
-                out.append(ring[i] + (ring[j] - ring[i]) * side[i] / (side[i] - side[j]))
-        ring = np.array(out)
-    return ring
+        for j, (x, y) in enumerate(points):
+            if side[j - 1] * side[j] < 0:
+                px, py = points[j - 1]
+                t = side[j - 1] / (side[j - 1] - side[j])
+                out.append([px + (x - px) * t, py + (y - py) * t])
+            if side[j] >= 0:
+                out.append([x, y])
+        points = out
+        if not points:
+            break
+    return np.array(points).reshape(-1, 2)
 
 
 def _fans(polygons: Polygons, origin: np.ndarray) -> list[tuple[float, np.ndarray]]:
@@ -133,10 +137,29 @@ def _fans(polygons: Polygons, origin: np.ndarray) -> list[tuple[float, np.ndarra
     return out
 
 
+def _convex(polygons: Polygons) -> np.ndarray | None:
+    """The open counter-clockwise ring of one convex polygon without holes; None for any other geometry."""
+    if len(polygons) != 1 or len(polygons[0]) != 1:
+        return None
+    ring = polygons[0][0]
+    d = ring[1:] - ring[:-1]
+    e = np.roll(d, -1, 0)
+    turn = d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]
+    if not ((turn >= 0).all() or (turn <= 0).all()) or len(ring) > 12:  # (a longer ring may wind twice)
+        return None
+    if len(ring) > 5 and abs(np.arctan2(turn, (d * e).sum(1)).sum()) > 7:
+        return None
+    return ring[:-1] if turn.sum() > 0 else ring[-1:0:-1]
+
+
 def shared_area(a: Polygons, b: Polygons) -> float:
-    """The area of the intersection of any two polygons with holes: signed triangle fans, cut pair by pair."""
+    """The area of the intersection of any two polygons with holes: signed triangle fans, cut pair by pair; two convex ones are cut at once."""
     if not a or not b:
         return 0.0
+    x, y = _convex(a), _convex(b)
+    if x is not None and y is not None:
+        cut = _clip(x, y)
+        return abs(ring_area(np.r_[cut, cut[:1]])) if len(cut) > 2 else 0.0
     origin = np.array(bounds(a)[:2]) - 1.0
     total = 0.0
     for s, t in _fans(a, origin):

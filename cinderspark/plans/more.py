@@ -108,7 +108,7 @@ def _(spark, d):
     return longs(lines.select("r", "w", F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("total")))
 
 
-@query("cell_flags", with_("lulc") + "SELECT CAST(y AS BIGINT) AS y, CAST(y - 1992 + 1 AS BIGINT) AS band, CAST(sum(CASE WHEN cls = 33 THEN 1 ELSE 0 END) AS BIGINT) AS rivers, CAST(sum(CASE WHEN cls - 20 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS above FROM lulc GROUP BY 1")
+@query("cell_flags", with_("lulc") + "SELECT CAST(lulc.y AS BIGINT) AS y, CAST(lulc.y - 1992 + 1 AS BIGINT) AS band, CAST(sum(CASE WHEN cls = 33 THEN 1 ELSE 0 END) AS BIGINT) AS rivers, CAST(sum(CASE WHEN cls - 20 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS above FROM lulc GROUP BY lulc.y")
 def _(spark, d):
     cover = I.cover(spark, d)
     years = [(r["y"], M.band_of_year(r["y"], 1992, 15)) for r in cover.select("y").distinct().collect()]
