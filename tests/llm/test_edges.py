@@ -11,7 +11,7 @@ from cinderspark.llm import bpe, decontaminate, jaccard_join, language, line_ded
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 LONG = "word " * 30_000
-ROWS = [(1, None, "n1"), (2, "", "n2"), (3, "  \t\n ", "x"), (4, "One two three.\nfour five six seven eight", "y"), (4, "One two three.\nfour five six seven eight", "y"), (5, LONG, "z"), (None, "a null id has text", "w"), (6, "ÀÉ 中文 \U0001f600 don't", "v")]
+ROWS = [(1, None, "n1"), (2, "", "n2"), (3, "  \t\n ", "x"), (4, "One two three.\nfour five six seven eight", "y"), (4, "One two three.\nfour five six seven eight", "y"), (5, LONG, "z"), (None, "a null id has text", "w"), (6, "ÀÉ 中文 \U0001f600 don't", "v"), (7, "q7" * 150_000, "u")]
 
 
 @pytest.fixture(scope="module")
