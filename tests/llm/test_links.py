@@ -3,6 +3,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 
 from cinderspark.llm import jaccard_join
@@ -83,3 +84,46 @@ def test_plans_choose_neighbourhoods_where_runs_are_frequent():
     rare, often = (jaccard_join.plans(85, 100, others)[1] for others in ((0.0, 0.0, 0.0, 0.0), (500.0, 100.0, 20.0, 4.0)))
     large = [i for i, p in enumerate(rare) if 60 <= p.high < 3000]
     assert any(often[i].get().a > 0 for i in large) and all(p.get().m + p.get().a > p.get().most for plans in (rare, often) for p in plans[10:40])
+
+
+@pytest.mark.parametrize("num", [80, 85])
+def test_fine_sketches_reject_what_is_apart_and_no_link(num):
+    rng = np.random.default_rng(num)
+    for _ in range(200):
+        n = int(rng.integers(1, 6000))
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.r_[x[rng.random(len(x)) > rng.random() * 0.3], rng.integers(0, 1 << 63, int(rng.integers(0, 1 + n // 4))).astype(np.uint64)])
+        both = len(np.intersect1d(x, y))
+        bits = jaccard_join.apart(jaccard_join.fine_sketch(x), jaccard_join.fine_sketch(y))
+        assert bits == jaccard_join.apart(jaccard_join.fine_sketch(y), jaccard_join.fine_sketch(x)) <= len(x) + len(y) - 2 * both
+        if len(y) and 100 * both >= num * (len(x) + len(y) - both):
+            assert bits * (100 + num) <= (len(x) + len(y)) * (100 - num)
+    x, y = (np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64)) for _ in range(2))
+    assert jaccard_join.apart(jaccard_join.fine_sketch(x), jaccard_join.fine_sketch(y)) * (100 + num) > (len(x) + len(y)) * (100 - num)
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_only_texts_of_likely_pairs_are_verified(spark, monkeypatch, sent):
+    """Long texts that share a passage share signatures, but no more; their texts don't travel."""
+    monkeypatch.setattr(jaccard_join, "SENT_IDS", sent)
+    asked, plain = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or plain(pairs, *rest))
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(1200)]
+    made = [" ".join(passage + [f"t{i}x{rng.randrange(10**9)}" for _ in range(1800)]) for i in range(12)]
+    made += [made[0] + " more", made[5] + " and more"]
+    rows = {r["doc_id"]: r for r in jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert [rows[i]["component_id"] for i in range(14)] == [*range(12), 0, 5]
+    assert [rows[i]["n_links"] for i in range(14)] == all_pairs(made, 4, 85)
+    assert sum(asked) == 2
+
+
+def test_results_hold_whatever_the_sampled_frequencies(spark, monkeypatch):
+    """Frequencies of runs choose how sets are cut; links are the same for all of them."""
+    made = copies(12, 9)
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    found = []
+    for others in ((0.0,) * 4, (500.0, 100.0, 20.0, 4.0)):
+        monkeypatch.setattr(jaccard_join, "run_frequencies", lambda *_, others=others: others)
+        found.append(sorted(tuple(r) for r in jaccard_join.jaccard_components(docs).collect()))
+    assert found[0] == found[1] and [r[3] for r in found[0]] == all_pairs(made, 4, 85)
