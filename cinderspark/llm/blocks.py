@@ -15,6 +15,7 @@ import contextlib
 import ctypes
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,16 @@ DDL = "key int, block long, bucket int, data binary"
 BLOCK_CHARS = 24_000_000
 
 
+@lru_cache(1)
+def _coders() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once a process: to make them costs more than to pack a small array."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays, compressed apart with their bytes in planes, which suits small numbers in wide types."""
     parts = []
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = _coders()[0].compress
     for a in arrays:
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T
         body = squeeze(np.ascontiguousarray(planes).tobytes())
@@ -45,7 +52,7 @@ def pack(*arrays: np.ndarray) -> bytes:
 
 def unpack(data: bytes) -> list[np.ndarray]:
     found, at = [], 0
-    grow = zstandard.ZstdDecompressor().decompress
+    grow = _coders()[1].decompress
     while at < len(data):
         kind, n = np.dtype(data[at : at + 4].decode().strip()), int.from_bytes(data[at + 4 : at + 12], "little")
         size = int.from_bytes(data[at + 12 : at + 20], "little")

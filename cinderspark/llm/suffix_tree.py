@@ -12,7 +12,8 @@ no context can grow.
 
 Each depth is one round trip: blocks of documents ask for their distinct (context, next) pairs, with counts of the teaching
 texts; pairs meet by a hash of the context, where counts are summed, the test is made and probabilities are given back. The
-pairs of a context whose last word is very frequent are split by the next symbol, and only their totals meet.
+pairs of a context whose last word is very frequent are split by the next symbol; first their totals meet, then their gains, so
+that such a context is judged as any other.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspark.llm import blocks as B
-from cinderspark.llm.common import STEP, U64, distinct, docs_of, fold, mix, partitions, rows
+from cinderspark.llm.common import STEP, U64, Out, distinct, docs_of, fold, mix, partitions, rows
 from cinderspark.sources.tables import drop, written
 
 #: Characters of a block; occurrences of a word from which its contexts are split; natural logarithms travel as whole thousandths.
 BLOCK_CHARS, HOT, SCALE = 12_000_000, 1 << 23, 1000
+#: Active positions for each bucket of a round, and the buckets that a round has at least: a block sends a row to each.
+PER_BUCKET, LEAST_BUCKETS = 500_000, 64
 STATS, TOTALS = -2, -3
 KEPT, FEW, GROWS = 1, 2, 4
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("known_words", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64())])
@@ -49,15 +52,35 @@ def _row(key: int, block: int, bucket: int, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"key": [key], "block": [block], "bucket": [bucket], "data": [data]}, schema=B.SCHEMA)
 
 
+def _gathered(run: Callable) -> Callable:
+    """A task that gives rows (key, block, bucket, data), as one that gives batches of many: each batch has its own cost."""
+
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Out(B.SCHEMA, 512, 4 << 20)
+        for row in run(batches):
+            out.add(row, len(row[3]))
+            if out.full():
+                yield out.take()
+        if out.rows:
+            yield out.take()
+
+    return batches_of
+
+
+def round_buckets(active: int, buckets: int) -> int:
+    """Buckets of a round with so many active positions: blocks times buckets are rows, so late rounds have fewer."""
+    return min(buckets, max(LEAST_BUCKETS, -(-active // PER_BUCKET)))
+
+
 def _count_words(buckets: int):
     """Word rows answered with each word's count in teaching texts and its number (0 is the end sign); and the task's totals."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         held: list[tuple] = []
         counts: Counter = Counter()
         for key, block, bucket, data in rows(batches, "key", "block", "bucket", "data"):
             if bucket < 0:
-                yield _row(key, block, bucket, data)
+                yield key, block, bucket, data
             else:
                 held.append((key, block, bucket, data))
                 for w, n in zip(B.unpack_words(data), B.unpack(data)[2].tolist(), strict=True):
@@ -66,14 +89,14 @@ def _count_words(buckets: int):
             return
         number = {w: 1 + held[0][2] + i * buckets for i, w in enumerate(sorted(counts))}
         stats = np.array([counts.total(), sum(n > 0 for n in counts.values()), max(counts.values())], np.int64)
-        yield _row(0, TaskContext.get().partitionId(), STATS, stats.tobytes())
+        yield 0, TaskContext.get().partitionId(), STATS, stats.tobytes()
         for key, block, bucket, data in held:
             words = B.unpack_words(data)
             answer = B.pack(np.array([counts[w] for w in words], np.uint64), np.array([number[w] for w in words], np.uint64))
-            yield _row(key, block, bucket, answer)
+            yield key, block, bucket, answer
         B.trim()
 
-    return run
+    return _gathered(run)
 
 
 class Open:
@@ -108,11 +131,11 @@ class Open:
             self.q, self.fails, self.few = self.root[self.stream], np.zeros(len(self.stream), np.uint8), np.packbits(np.zeros(len(self.stream), bool))
         return self
 
-    def pairs(self, depth: int) -> Iterator[tuple]:
-        """For unsplit contexts, then for split ones: the active positions, and their distinct pairs sorted by context."""
+    def pairs(self, depth: int, kinds: tuple[bool, ...] = (False, True)) -> Iterator[tuple]:
+        """For unsplit contexts, then for split ones (or one of the ``kinds``): the active positions, and their distinct pairs sorted by context."""
         s = np.r_[len(self.gid) - 1, self.stream.astype(np.int64)]
         last = self.splits[s[self.active]]
-        for split in (False, True):
+        for split in kinds:
             at = np.flatnonzero((last > 1) == split)
             a = self.active[at].astype(np.int64)
             with np.errstate(over="ignore"):
@@ -132,10 +155,10 @@ class Open:
             pair, at_pair, back = distinct(number.astype(U64) << U64(32) | s[a + 1].astype(U64))
             yield at, ctx, whole[one] if split else np.zeros(len(ctx), U64), (pair >> U64(32)).astype(np.int64), self.gid[(pair & U64(0xFFFFFFFF)).astype(np.int64)], at[at_pair], back
 
-    def rows(self, depth: int, buckets: int, block: int) -> Iterator[pa.RecordBatch]:
+    def rows(self, depth: int, buckets: int, block: int, kinds: tuple[bool, ...] = (False, True)) -> Iterator[tuple]:
         """The block's questions about the active positions' contexts of ``depth`` words, by bucket."""
         teaches = self.marks[self.live][self.bounds()[0][self.active.astype(np.int64)]]
-        for i, (at, ctx, whole, of, nxt, one, back) in enumerate(self.pairs(depth)):
+        for split, (at, ctx, whole, of, nxt, one, back) in zip(kinds, self.pairs(depth, kinds), strict=True):
             if not len(at):
                 continue
             n = np.bincount(back, teaches[at], len(of)).astype(np.uint32)
@@ -146,7 +169,7 @@ class Open:
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 p = slice(ends[a], ends[b])
                 bucket = int(to[a])
-                yield _row(bucket, block, bucket + i * buckets, B.pack(ctx[a:b], whole[a:b], size[a:b].astype(np.uint32), nxt[p], n[p], self.q[one[p]]))
+                yield bucket, block, bucket + split * buckets, B.pack(ctx[a:b], whole[a:b], size[a:b].astype(np.uint32), nxt[p], n[p], self.q[one[p]])
         B.trim()
 
     def step(self, depth: int, patience: int) -> Open:
@@ -201,23 +224,19 @@ def gains(n: np.ndarray, q: np.ndarray, total: np.ndarray, kinds: np.ndarray) ->
     return np.where((n > 0) & (over > 0), n * (np.log(np.maximum(over, 1e-300) / under) - np.log(q)), 0.0)
 
 
-def answered(data: list[bytes], totals: dict[int, tuple[int, int]], least_gain: float) -> list[bytes]:
+def answered(data: list[bytes], totals: dict[int, tuple[int, int, float, bool]], least_gain: float) -> list[bytes]:
     """For each block's pairs of a bucket: thousandths of ln P by the longest kept context, and the context's flags."""
     parts = [B.unpack(d) for d in data]
     each = [np.repeat(p[0], p[2]) for p in parts]
     back, n, q, of, ctx = summed(np.concatenate(each), np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]).astype(np.int64), np.concatenate([p[5] for p in parts]).astype(np.float64))
     total, kinds = np.bincount(of, n).astype(np.int64), np.bincount(of, n > 0).astype(np.int64)
     gain = np.bincount(of, gains(n, q, total[of], kinds[of]))
-    if totals:  # split contexts: their own sums are a part only; what is so frequent is kept
-        whole = [totals.get(c) for c in ctx.tolist()]
-        for i, t in enumerate(whole):
-            if t:
-                total[i], kinds[i], gain[i] = *t, np.inf
+    again = np.bincount(of, n >= 2) > 0  # of a longer context some next symbol has to occur twice, and so it has here
+    if totals:  # split contexts: their own sums are a part only
+        for i, c in enumerate(ctx.tolist()):
+            total[i], kinds[i], gain[i], again[i] = totals[c]
     kept = (total >= 2) & (gain > least_gain)
     p = np.where(kept[of], (n + kinds[of] * q) / np.maximum(total + kinds, 1)[of], q)
-    again = np.bincount(of, n >= 2) > 0  # of a longer context some next symbol has to occur twice, and so it has here
-    if totals:
-        again |= np.isinf(gain)
     flags = kept[of] * KEPT + (n < 2) * FEW + (again & (kinds >= 2))[of] * GROWS
     whole_p, whole_f = np.maximum(np.rint(np.log(p) * SCALE), -32768).astype(np.int16)[back], flags.astype(np.uint8)[back]
     out, at = [], 0
@@ -227,57 +246,93 @@ def answered(data: list[bytes], totals: dict[int, tuple[int, int]], least_gain:
     return out
 
 
-def _ask_contexts(asks: DataFrame, buckets: int, least_gain: float, split: bool) -> DataFrame:
-    """The questions of a round, answered; those about split contexts wait for the contexts' totals."""
+def _parts(data: list[bytes]) -> tuple:
+    """Parts of split contexts, of a bucket: by pair n, q and its part's number; the parts, and the context of each."""
+    parts = [B.unpack(d) for d in data]
+    whole = dict(zip(np.concatenate([p[0] for p in parts]).tolist(), np.concatenate([p[1] for p in parts]).view(np.int64).tolist(), strict=True))
+    _, n, q, of, ctx = summed(np.concatenate([np.repeat(p[0], p[2]) for p in parts]), np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]).astype(np.int64), np.concatenate([p[5] for p in parts]).astype(np.float64))
+    return n, q, of, ctx, pa.array([whole[c] for c in ctx.tolist()], pa.int64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        totals: dict[int, tuple[int, int]] = {}
-        for key, block, bucket, data in rows(batches, "key", "block", "bucket", "data"):
-            if bucket == TOTALS:
-                totals |= {c: (n, k) for c, n, k in zip(*(a.tolist() for a in B.unpack(data)), strict=True)}
-            else:
-                held.setdefault(bucket, []).append((key, block, data))
-        for bucket in sorted(held):
-            group = held.pop(bucket)
-            for (key, block, _), data in zip(group, answered([d for *_, d in group], totals if bucket >= buckets else {}, least_gain), strict=True):
-                yield _row(key, block, bucket, data)
-        B.trim()
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(bucket, data) for bucket, data in rows(batches, "bucket", "data") if bucket >= buckets]
-        if held:
-            parts = [B.unpack(d) for _, d in held]
-            whole = dict(zip(np.concatenate([p[0] for p in parts]).tolist(), np.concatenate([p[1] for p in parts]).view(np.int64).tolist(), strict=True))
-            _, n, _, of, ctx = summed(np.concatenate([np.repeat(p[0], p[2]) for p in parts]), np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]).astype(np.int64), np.concatenate([p[5] for p in parts]).astype(np.float64))
-            cols = [pa.array([whole[c] for c in ctx.tolist()], pa.int64()), pa.array(ctx.view(np.int64)), pa.array(np.bincount(of, n).astype(np.int64)), pa.array(np.bincount(of, n > 0).astype(np.int64)), pa.array(bucket_of_context(ctx, buckets).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(cols, names=["whole", "part", "n", "k", "bucket"])
+def _told(parts: DataFrame, *columns: str) -> DataFrame:
+    """Rows for the buckets of ``parts`` (part, bucket), with the named sums of each part's context."""
 
-    if split:
-        sums = written(B.by_bucket(asks.where(F.col("bucket") >= buckets)).mapInArrow(partial, "whole long, part long, n long, k long, bucket int"), "splits")
-        all_ = sums.groupBy("whole").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-        told = sums.select("whole", "part", "bucket").join(all_, "whole").select("part", "n", "k", "bucket")
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            part, *cols = (batch.column(c).to_numpy() for c in ("part", *columns))
+            for b in np.unique(bucket).tolist():
+                here = bucket == b
+                yield b, 0, TOTALS, B.pack(part[here].view(np.uint64), *(c[here] for c in cols))
 
-        def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bucket = batch.column("bucket").to_numpy()
-                cols = [batch.column(c).to_numpy() for c in ("part", "n", "k")]
-                for b in np.unique(bucket).tolist():
-                    here = bucket == b
-                    yield _row(b, 0, TOTALS, B.pack(cols[0][here].view(np.uint64), cols[1][here], cols[2][here]))
+    return parts.select("part", "bucket", *columns).mapInArrow(_gathered(tell), B.DDL)
 
-        asks = asks.unionByName(told.mapInArrow(tell, B.DDL))
-    return B.by_bucket(asks).mapInArrow(run, B.DDL)
+
+def _held(batches: Iterator[pa.RecordBatch]) -> tuple[dict[int, list], dict[int, tuple]]:
+    """A task's questions by bucket, and what it is told of split contexts by part."""
+    held: dict[int, list] = {}
+    totals: dict[int, tuple] = {}
+    for key, block, bucket, data in rows(batches, "key", "block", "bucket", "data"):
+        if bucket == TOTALS:
+            part, *cols = (a.tolist() for a in B.unpack(data))
+            totals.update(zip(part, zip(*cols, strict=True), strict=True))
+        else:
+            held.setdefault(bucket, []).append((key, block, data))
+    return held, totals
+
+
+def _split_sums(hot: DataFrame, buckets: int) -> tuple[DataFrame, list[DataFrame]]:
+    """What the parts of split contexts have to know, as rows for their buckets: n, kinds and gain of the whole context, and whether a next symbol occurs twice; and the working tables."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, _ = _held(batches)
+        for bucket in sorted(held):
+            n, _, of, ctx, whole = _parts([d for *_, d in held.pop(bucket)])
+            cols = [whole, pa.array(ctx.view(np.int64)), pa.array(np.bincount(of, n).astype(np.int64)), pa.array(np.bincount(of, n > 0).astype(np.int64)), pa.array(bucket_of_context(ctx, buckets).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, names=["whole", "part", "n", "k", "bucket"])
+
+    def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, totals = _held(batches)
+        for bucket in sorted(held):
+            n, q, of, ctx, whole = _parts([d for *_, d in held.pop(bucket)])
+            total, kinds = (np.array(x, np.int64) for x in zip(*(totals[c] for c in ctx.tolist()), strict=True))
+            cols = [whole, pa.array(np.bincount(of, gains(n, q, total[of], kinds[of]))), pa.array((np.bincount(of, n >= 2) > 0).astype(np.int8))]
+            yield pa.RecordBatch.from_arrays(cols, names=["whole", "gain", "again"])
+
+    parts = written(B.by_bucket(hot).mapInArrow(count, "whole long, part long, n long, k long, bucket int"), "splits")
+    sums = parts.groupBy("whole").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    parts_of = parts.select("whole", "part", "bucket").join(sums, "whole")
+    gained = written(B.by_bucket(hot.unionByName(_told(parts_of, "n", "k"))).mapInArrow(gain, "whole long, gain double, again byte"), "gains")
+    whole = gained.groupBy("whole").agg(F.sum("gain").alias("gain"), F.max("again").alias("again"))
+    return _told(parts_of.join(whole, "whole"), "n", "k", "gain", "again"), [parts, gained]
 
 
 def _asked(now: DataFrame, depth: int, buckets: int, least_gain: float, split: bool) -> DataFrame:
-    """The answers about the contexts of ``depth`` words of all blocks that have active positions."""
+    """The answers about the contexts of ``depth`` words of all blocks that have active positions, written; those about split contexts wait for the contexts' sums."""
+
+    def asks(*kinds: bool) -> DataFrame:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            for block, data in rows(batches, "block", "data"):
+                yield from Open(data).begun().rows(depth, buckets, block, kinds)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, data in rows(batches, "block", "data"):
-            yield from Open(data).begun().rows(depth, buckets, block)
+        return now.where("key > 0").select("block", "data").mapInArrow(_gathered(ask), B.DDL)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        held, totals = _held(batches)
+        for bucket in sorted(held):
+            group = held.pop(bucket)
+            for (key, block, _), data in zip(group, answered([d for *_, d in group], totals if bucket >= buckets else {}, least_gain), strict=True):
+                yield key, block, bucket, data
+        B.trim()
 
-    return _ask_contexts(now.where("key = 1").select("block", "data").mapInArrow(ask, B.DDL), buckets, least_gain, split)
+    every, tables = asks(False, True), []
+    if split:
+        told, tables = _split_sums(asks(True), buckets)
+        every = every.unionByName(told)
+    answers = written(B.by_bucket(every).mapInArrow(_gathered(run), B.DDL), "answers")  # (so that what was shuffled for them goes)
+    for t in tables:
+        drop(t)
+    return answers
 
 
 def _stepped(now: DataFrame, answers: DataFrame, depth: int, patience: int) -> DataFrame:
@@ -285,7 +340,7 @@ def _stepped(now: DataFrame, answers: DataFrame, depth: int, patience: int) -> D
 
     def step(frame: Open) -> Iterator[pa.RecordBatch]:
         after = frame.begun().step(depth, patience)
-        yield _row(int(len(after.active) > 0), frame.block, -1, after.pack())
+        yield _row(len(after.active), frame.block, -1, after.pack())
 
     return B.out_of_blocks(now.unionByName(answers), step, B.DDL, Open)
 
@@ -329,15 +384,15 @@ def score_texts(docs: DataFrame, folds: int = 5, left_out: int = 1, id_col: str
             splits=np.minimum(1 + np.r_[count, U64(n_texts)] // U64(hot), 60_000).astype(np.uint16), live=np.arange(len(sizes), dtype=np.uint32), stream=stream,
             active=none.astype(np.uint32), q=none.astype(np.int16), fails=none, few=none,
         )
-        yield _row(1, frame.block, -1, made.pack())
+        yield _row(len(stream), frame.block, -1, made.pack())
 
     now = written(B.out_of_blocks(counted.where(F.col("bucket") != STATS), begin, B.DDL), "contexts")
     drop(counted)
     del made, counted
     depth = 0
-    while not now.where("key = 1").isEmpty():  # blocks with active positions
+    while active := now.agg(F.sum("key").alias("n")).first()["n"]:  # a frame's key counts its active positions
         depth += 1
-        answers = written(_asked(now, depth, buckets, least_gain, split), "answers")  # (so that what was shuffled for them goes)
+        answers = _asked(now, depth, round_buckets(active, buckets), least_gain, split)
         after = written(_stepped(now, answers, depth, patience), "contexts")
         drop(now)
         drop(answers)

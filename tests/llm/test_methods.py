@@ -318,6 +318,22 @@ def test_suffix_tree_equals_brute_force(spark, monkeypatch, hot):
         assert all(got[i]["score"] > got[i]["base_score"] for i in range(60, 64))
 
 
+def test_split_contexts_are_judged_as_others(spark, monkeypatch):
+    rng = random.Random(7)
+    made = [" ".join(rng.choices("abcde", k=rng.randint(0, 12))) for _ in range(60)] + ["a b c d e f g h a b c d e f g i"] * 4
+    monkeypatch.setattr(suffix_tree, "BLOCK_CHARS", 300)
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffix_tree.score_texts(docs, hot=12).collect()}
+    want = tree_scores(made, [i for i in range(len(made)) if suffix_tree.learns(i)])
+    assert [got[i]["score"] for i in range(len(made))] == pytest.approx(want, abs=0.01)
+
+
+def test_rows_to_buckets_grow_with_the_input_alone():
+    assert [suffix_tree.round_buckets(n, 600) for n in (1, 50_000_000, 10**9)] == [64, 100, 600] and suffix_tree.round_buckets(10**9, 51) == 51
+    batches = list(suffix_tree._gathered(lambda _: ((i, i, i, b"x" * 100) for i in range(1000)))(iter(())))
+    assert len(batches) == 2 and sum(b.num_rows for b in batches) == 1000
+
+
 def test_suffix_tree_tells_repeated_texts_apart(spark):
     rng = random.Random(2)
     vocab = [f"w{i}" for i in range(200)]
