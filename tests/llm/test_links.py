@@ -118,12 +118,18 @@ def test_only_texts_of_likely_pairs_are_verified(spark, monkeypatch, sent):
     assert sum(asked) == 2
 
 
-def test_results_hold_whatever_the_sampled_frequencies(spark, monkeypatch):
-    """Frequencies of runs choose how sets are cut; links are the same for all of them."""
-    made = copies(12, 9)
-    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    found = []
-    for others in ((0.0,) * 4, (500.0, 100.0, 20.0, 4.0)):
-        monkeypatch.setattr(jaccard_join, "run_frequencies", lambda *_, others=others: others)
-        found.append(sorted(tuple(r) for r in jaccard_join.jaccard_components(docs).collect()))
-    assert found[0] == found[1] and [r[3] for r in found[0]] == all_pairs(made, 4, 85)
+@pytest.mark.parametrize("others", [(0.0,) * 4, (500.0, 100.0, 20.0, 4.0), (1e6,) * 4])
+def test_linked_sets_share_a_signature_whatever_the_sampled_frequencies(others):
+    """Frequencies of runs choose how sets are cut; a linked pair shares a signature, one of them an own one, for all of them."""
+    rng = np.random.default_rng(5)
+    linked = 0
+    for _ in range(150):
+        x = np.unique(rng.integers(0, 1 << 63, int(rng.integers(20, 200))).astype(np.uint64))
+        y = np.unique(np.r_[x[rng.random(len(x)) > rng.random() * 0.12], rng.integers(0, 1 << 63, int(rng.integers(0, 6))).astype(np.uint64)])
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 85 * (len(x) + len(y) - both):
+            continue
+        linked += 1
+        (own, less), (own2, less2) = (jaccard_join.signatures(s, 85, 100, others) for s in (x, y))
+        assert len(np.intersect1d(own, np.r_[own2, less2])) or len(np.intersect1d(less, own2))
+    assert linked > 50
