@@ -11,8 +11,6 @@ Rows: ``key int`` (where to), ``block long``, ``bucket int`` (-1: the frame), ``
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -25,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderspark.llm.common import distinct, partitions, rows, word_hashes
+from cinderspark.llm.common import distinct, fresh, partitions, rows, trim, word_hashes
 
 SCHEMA = pa.schema([("key", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 DDL = "key int, block long, bucket int, data binary"
@@ -82,13 +80,6 @@ class Words(defaultdict):
         return n
 
 
-def trim() -> None:
-    """Give what a block has used back to the system, where the C library can."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def bucket_of(word: bytes, n: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % n
 
@@ -192,7 +183,7 @@ def in_buckets(blocks: DataFrame, answer: Callable[[], Callable[[bytes], bytes]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = None
-        for batch in batches:
+        for batch in fresh(batches):
             for at in range(0, batch.num_rows, 16):
                 part = batch.slice(at, 16).to_pydict()
                 if of is None and any(b >= 0 for b in part["bucket"]):
@@ -224,7 +215,7 @@ def out_of_blocks(answered: DataFrame, finish: Callable, ddl: str, frame_of: Cal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frame = None
-        for batch in batches:
+        for batch in fresh(batches):
             for at in range(0, batch.num_rows, 16):
                 part = batch.slice(at, 16)
                 for block, bucket, data in zip(*(part.column(c).to_pylist() for c in ("block", "bucket", "data")), strict=True):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from cinderspark.llm.blocks import Frame, in_buckets, numbered, out_of_blocks, pack, to_blocks, unpack, unpack_words
+from cinderspark.llm.blocks import BLOCK_CHARS, Frame, in_buckets, numbered, out_of_blocks, pack, to_blocks, unpack, unpack_words
 from cinderspark.llm.common import docs_of
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -30,13 +30,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, most_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, ids array<int>``: the BPE ids of each whole text, without special tokens; with ``decode``, also their bytes.
 
     Texts are split by ``pattern`` where they are; a block of documents becomes token numbers and its distinct words. The
     words are shuffled by hash, so that each distinct word is encoded once in the task that all its blocks' rows come to (which
     remembers a bounded number of words); the ids go back to the blocks and are put in place by position. Shuffled are packed numbers and distinct words, no texts.
-    The rank table has a fixed size and is broadcast.
+    The rank table has a fixed size and is broadcast. Blocks have about ``most_chars`` characters: smaller ones need less memory
+    and shuffle more words.
 
     Null or empty text has no ids. Null and repeated ids are kept: each row gives a row. Very long texts make a block of
     their own. An empty table gives an empty result. Other columns are ignored.
@@ -62,7 +63,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
         return of
 
     find = regex.compile(pattern)
-    blocks = to_blocks(docs_of(docs, id_col, text_col), numbered(lambda text: find.findall(text)))
+    blocks = to_blocks(docs_of(docs, id_col, text_col), numbered(lambda text: find.findall(text)), most_chars=most_chars)
     if not decode:
         return out_of_blocks(in_buckets(blocks, answer), _place, "doc_id long, ids array<int>")
 

@@ -17,7 +17,7 @@ from cinderspark.sources.tables import written
 #: Bytes to words: A-Z lower-cased; ASCII other than letters and digits is a gap; all other characters are of words.
 GAPS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: Bytes of text that close a part of the index, windows asked in one pass, and postings of a list block.
-PART_BYTES, ASKED, LIST_BLOCK = 6_000_000, 200_000, 2048
+PART_BYTES, ASKED, LIST_BLOCK = 2_000_000, 200_000, 2048
 #: Pairs of a window and a place that are compared at a time.
 STEP = 2_000_000
 OUT = pa.schema([("part", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
@@ -31,7 +31,7 @@ def plain(text: str | None) -> bytes:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The positional inverted index of ``docs``, stored in the shared folder, one row for a part of about a million tokens.
+    """The positional inverted index of ``docs``, stored in the shared folder, one row for a part of about 300,000 tokens.
 
     ``docs_`` packs the part's doc ids, whether each is null, and its words; ``terms`` the sorted term hashes, the lengths of
     their posting lists, where each block of postings begins, and the postings of a block; ``words`` the terms themselves; ``places`` all lists end to
@@ -45,7 +45,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         size, part = 0, TaskContext.get().partitionId() << 24
 
         def take() -> pa.RecordBatch:
-            flat, sizes, words, hashes = numbered_hashes(texts)
+            flat, sizes, words, hashes = numbered_hashes(texts, 1 << 18)
             sizes = sizes.astype(np.int64)
             place = np.arange(len(flat)) + np.repeat(np.arange(len(sizes)), sizes)
             order = np.argsort(flat, kind="stable")

@@ -20,6 +20,8 @@ from cinderspark.llm.line_dedup import dedup_texts
 from cinderspark.sources.tables import drop, scratch, written
 
 KEY = "row_key"
+#: Characters of a block in the last stage, whose workers come after all others' in an executor's memory.
+BLOCK_CHARS = 4_000_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -61,7 +63,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each remaining text, and the digest of what they decode to: ``doc_id, n_tokens, ids, decoded_sha256``."""
-    both = bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decode=True)
+    both = bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decode=True, most_chars=BLOCK_CHARS)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

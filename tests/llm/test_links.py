@@ -1,12 +1,18 @@
 """The Jaccard join's number of links against all pairs."""
 
 import collections
+import ctypes
 import random
+import re
+from pathlib import Path
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from cinderspark.llm import jaccard_join
+from cinderspark.llm import bpe, common, jaccard_join
+from cinderspark.sources import tables
 
 
 def shingle_set(text, width):
@@ -133,3 +139,43 @@ def test_linked_sets_share_a_signature_whatever_the_sampled_frequencies(others):
         (own, less), (own2, less2) = (jaccard_join.signatures(s, 85, 100, others) for s in (x, y))
         assert len(np.intersect1d(own, np.r_[own2, less2])) or len(np.intersect1d(less, own2))
     assert linked > 50
+
+
+def test_texts_reach_python_in_small_batches_while_a_working_table_is_written(spark):
+    docs = spark.range(0, 300, 1, 1).selectExpr("id", "repeat('some words ', 10000) as text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    kept = tables.written(docs.mapInArrow(sizes, "size long"), "sizes")
+    got = [r["size"] for r in kept.collect()]
+    tables.drop(kept)
+    assert sum(got) > 30_000_000 and max(got) < 4_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != tables.WRITING["spark.sql.execution.arrow.maxBytesPerBatch"]
+
+
+def test_sets_of_many_texts_need_little_memory(monkeypatch):
+    monkeypatch.setattr(common, "_powers", [])
+    made = [" ".join(f"w{i * j % 977}" for j in range(300)) for i in range(1500)]
+    few = list(jaccard_join.shingle_sets(made, 4))
+    assert sum(map(len, made)) > 1 << 20 and sum(p.nbytes for p in common._powers) <= 8 << 20
+    for x, y in zip(few, jaccard_join.shingle_sets(made, 4, 1 << 22), strict=True):
+        assert np.array_equal(x, y)
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="the C library has no such call")
+def test_a_task_gives_freed_memory_back():
+    held = lambda: int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+    kept = [np.ones(12_000) for _ in range(3000)]
+    kept = kept[::300]
+    before = held()
+    assert list(common.rows(iter([]), "x")) == [] and before - held() > 150
+
+
+def test_small_blocks_give_the_same_token_ids(spark):
+    made = [(i, f"words of text {i * 7919} and more " * (i % 9)) for i in range(60)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    few, many = ({r["doc_id"]: r["ids"] for r in bpe.bpe_encode(docs, ranks, most_chars=n).collect()} for n in (24_000_000, 50))
+    assert few == many and len(few) == 60
