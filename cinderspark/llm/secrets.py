@@ -15,10 +15,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderspark.llm.common import docs_of, rows
+from cinderspark.llm.common import docs_of, fresh, rows
+from cinderspark.sources.tables import drop, written
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -107,6 +109,7 @@ class SecretNet:
     """Embedding and convolution in one (a table for each tap), ReLU, maximum over positions, one dense layer."""
 
     TAPS, FILTERS = 5, 24
+    WEIGHTS = ("conv", "bias", "dense", "shift")
 
     def __init__(self, seed: int = 9):
         rng = np.random.default_rng(seed)
@@ -115,6 +118,7 @@ class SecretNet:
         self.dense = rng.normal(0, 0.3, self.FILTERS).astype(np.float32)
         self.shift = np.zeros(1, np.float32)
         self.scale, self.offset, self.threshold = 1.0, 0.0, 1.1  # untrained: nothing is added
+        self.learnt = self.judged = 0  # windows that the weights, and that the threshold come from
 
     def forward(self, x: np.ndarray):
         n = WIDE - self.TAPS + 1
@@ -127,71 +131,160 @@ class SecretNet:
         z = np.concatenate([self.forward(x[i : i + 512])[0] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
         return 1 / (1 + np.exp(-np.clip(self.scale * z + self.offset, -30, 30)))
 
+    def slope(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
+        """Gradient of the weighted log loss of some windows, and that loss."""
+        z, top, where = self.forward(x)
+        d = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight).astype(np.float32)
+        up = d[:, None] * self.dense * (top > 0)
+        slope = {"conv": np.zeros_like(self.conv), "bias": up.sum(0), "dense": np.maximum(top, 0).T @ d, "shift": np.array([d.sum()])}
+        f = np.broadcast_to(np.arange(self.FILTERS), where.shape)
+        for k in range(self.TAPS):
+            np.add.at(slope["conv"][k], (np.take_along_axis(x, where + k, 1), f), up)
+        return slope, float((weight * (np.logaddexp(0, z) - y * z)).sum())
+
+    def adam(self):
+        """A function that takes one step of Adam after another."""
+        m, v = ({k: np.zeros_like(getattr(self, k)) for k in self.WEIGHTS} for _ in range(2))
+        t = 0
+
+        def step(slope: dict[str, np.ndarray], rate: float) -> None:
+            nonlocal t
+            t += 1
+            for k in self.WEIGHTS:
+                m[k] = 0.9 * m[k] + 0.1 * slope[k]
+                v[k] = 0.999 * v[k] + 0.001 * slope[k] ** 2
+                getattr(self, k)[...] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+
+        return step
+
     def train(self, x: np.ndarray, y: np.ndarray, steps: int = 400, batch: int = 256, rate: float = 0.01) -> None:
         """Adam on the log loss, classes balanced."""
-        rng, names = np.random.default_rng(1), ("conv", "bias", "dense", "shift")
-        m, v = ({k: np.zeros_like(getattr(self, k)) for k in names} for _ in range(2))
+        rng, step = np.random.default_rng(1), self.adam()
         sides = [np.flatnonzero(y == s) for s in (0, 1)]
-        for t in range(1, steps + 1):
+        for _ in range(steps):
             pick = np.concatenate([rng.choice(s, batch // 2) for s in sides])
-            xb, yb = x[pick], y[pick]
-            z, top, where = self.forward(xb)
-            d = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - yb) / len(pick)).astype(np.float32)
-            up = d[:, None] * self.dense * (top > 0)
-            slope = {"dense": np.maximum(top, 0).T @ d, "shift": np.array([d.sum()]), "bias": up.sum(0), "conv": np.zeros_like(self.conv)}
-            f = np.broadcast_to(np.arange(self.FILTERS), where.shape)
-            for k in range(self.TAPS):
-                np.add.at(slope["conv"][k], (np.take_along_axis(xb, where + k, 1), f), up)
-            for k in names:
-                m[k] = 0.9 * m[k] + 0.1 * slope[k]
-                v[k] = 0.999 * v[k] + 0.001 * slope[k] ** 2
-                getattr(self, k)[...] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+            step(self.slope(x[pick], y[pick], np.full(len(pick), 1 / len(pick)))[0], rate)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Platt scaling on held-back documents' candidates, then the highest threshold that ``recall`` of their findings pass."""
-        z = self.forward(x)[0]
+    def calibrate(self, z: np.ndarray, y: np.ndarray, n: np.ndarray, recall: float) -> None:
+        """Platt scaling on the outputs of held-back documents' windows (``n`` times each), then the highest threshold that ``recall`` of their findings pass."""
         w = np.zeros(2)
         for _ in range(25):
             p = 1 / (1 + np.exp(-np.clip(w[0] * z + w[1], -30, 30)))
             a = np.stack([z, np.ones_like(z)], 1)
-            w = w - np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (p - y) + 1e-3 * w)
+            w = w - np.linalg.solve((a * (n * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (n * (p - y)) + 1e-3 * w)
         self.scale, self.offset = float(w[0]), float(w[1])
-        found = np.sort(self.probability(x[y == 1]))
-        self.threshold = float(found[int((1 - recall) * len(found))])
+        found, times = z[y == 1], n[y == 1]
+        p = 1 / (1 + np.exp(-np.clip(self.scale * found + self.offset, -30, 30)))
+        order = np.argsort(p)
+        upto = np.cumsum(times[order])
+        self.threshold = float(p[order][np.searchsorted(upto, int((1 - recall) * upto[-1]), "right")])
+
+
+#: Steps of the network's output that held-back windows are counted in.
+FINE = 1024
+
+
+def _arrays(batches: Iterator[pa.RecordBatch], most: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows and labels of stored rows."""
+    for batch in fresh(batches):
+        for at in range(0, batch.num_rows, most):
+            part = batch.slice(at, most)
+            yield np.frombuffer(b"".join(part.column("x").to_pylist()), np.uint8).reshape(-1, WIDE).astype(np.int64), part.column("y").to_numpy().astype(np.float32)
+
+
+def _whole_slope(table: DataFrame, net: SecretNet, weight: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
+    """Gradient and loss over all rows of ``table``, ``weight`` by label: a sum for each task, and sums of these in eight tasks."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for x, y in _arrays(batches):
+            slope, loss = net.slope(x, y, weight[y.astype(int)])
+            flat = np.concatenate([*(slope[k].ravel() for k in net.WEIGHTS), [loss]]).astype(np.float64)
+            total = flat if total is None else total + flat
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "s"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for at, s in rows(batches, "part", "s"):
+            total = (at, np.frombuffer(s)) if total is None else (total[0], total[1] + np.frombuffer(s))
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total[0]], pa.int32()), pa.array([total[1].tobytes()], pa.binary())], names=["part", "s"])
+
+    ddl = "part int, s binary"
+    got = table.mapInArrow(part, ddl).repartition(8, "part").sortWithinPartitions("part").mapInArrow(added, ddl).collect()
+    total = sum(np.frombuffer(r["s"]) for r in sorted(got, key=lambda r: r["part"]))
+    slope, at = {}, 0
+    for k in net.WEIGHTS:
+        size = getattr(net, k).size
+        slope[k] = total[at : at + size].reshape(getattr(net, k).shape).astype(np.float32)
+        at += size
+    return slope, float(total[-1])
+
+
+def _outputs(table: DataFrame, net: SecretNet) -> list:
+    """How many rows of ``table`` have each label and output, in steps of 1 / FINE."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in _arrays(batches):
+            z = np.floor(np.clip(net.forward(x)[0], -30, 30) * FINE).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(z)], names=["y", "z"])
+
+    return table.mapInArrow(run, "y int, z int").groupBy("y", "z").agg(F.count("*").alias("n")).orderBy("y", "z").collect()
 
-def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 12_000, most_candidates: int = 20_000, recall: float = 0.95) -> SecretNet:
-    """Train on the findings of the rules (label 1: a rule's match overlaps the candidate) in a bounded sample, and on their re-spelled copies.
 
-    The sample is about ``most_docs`` documents by a hash of the id, whole texts, and at most ``most_candidates`` windows of
-    their candidates (72 bytes each). A quarter of the documents is held back to calibrate the probability and to choose the
-    highest threshold at which ``recall`` of their findings is met. Without findings, or without others, the network stays
-    untrained and adds nothing.
+def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 12_000, most_candidates: int = 20_000, recall: float = 0.95, passes: int = 6) -> SecretNet:
+    """Train on the findings of the rules (label 1: a rule's match overlaps the candidate) in all documents, and on their re-spelled copies.
+
+    The windows of all candidates (64 bytes each) are stored in the shared folder. Steps on a bounded sample of them (of about
+    ``most_docs`` documents by a hash of the id, ``most_candidates`` windows at most) only give the weights to start from; then each of
+    ``passes`` steps takes the gradient over all windows, classes balanced, and the weights of the least loss over all windows stay. A quarter of
+    the documents is held back: all their windows calibrate the probability and choose the highest threshold at which
+    ``recall`` of their findings is met. Without findings, or without others, the network stays untrained and adds nothing.
     """
     docs = docs_of(docs, id_col, text_col).where("doc_id is not null and text is not null")
     share = min(1.0, most_docs / max(docs.count(), 1))
-    sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6) < share).withColumn("seed", F.xxhash64("doc_id", F.lit(9)))
+    first = (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6) < share
+    seeded = docs.select("text", F.xxhash64("doc_id", F.lit(9)).alias("seed"), first.alias("first"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got: list[tuple] = []
-            for seed, text in rows(iter([batch]), "seed", "text"):
-                base = base_spans(text)
-                found = candidates(text, base)
-                back = seed % 4 == 3
-                got += [(x, int(y), back, seed ^ a) for a, b, y in found for x in windows(text, a, b)]
-                others = [(a, b) for a, b, y in found if not y]
-                got += [(x, 1, back, seed ^ ~i) for i, (t, a, b) in enumerate(respelled(text, base, others, seed)) for x in windows(t, a, b)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in got], k) for i, k in enumerate((pa.binary(), pa.int32(), pa.bool_(), pa.int64()))], names=["x", "y", "back", "k"])
-
-    got = sample.mapInArrow(make, "x binary, y int, back boolean, k long").orderBy(F.xxhash64("k"), "x").limit(most_candidates).toArrow()
+        got: list[tuple] = []
+        take = lambda: pa.RecordBatch.from_arrays([pa.array([r[i] for r in got], k) for i, k in enumerate((pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.bool_()))], names=["x", "y", "back", "k", "first"])
+        for seed, text, first in rows(batches, "seed", "text", "first"):
+            base = base_spans(text)
+            found = candidates(text, base)
+            back = seed % 4 == 3
+            got += [(x, int(y), back, seed ^ a, first) for a, b, y in found for x in windows(text, a, b)]
+            others = [(a, b) for a, b, y in found if not y]
+            got += [(x, 1, back, seed ^ ~i, first) for i, (t, a, b) in enumerate(respelled(text, base, others, seed)) for x in windows(t, a, b)]
+            if len(got) >= 4000:
+                yield take()
+                got.clear()
+        yield take()
+
+    table = written(seeded.mapInArrow(make, "x binary, y int, back boolean, k long, first boolean"), "windows")
     net = SecretNet()
+    n = {(r["back"], r["y"]): r["n"] for r in table.groupBy("back", "y").agg(F.count("*").alias("n")).collect()}
+    got = table.where("first").orderBy(F.xxhash64("k"), "x").limit(most_candidates).toArrow()
     y, back = got.column("y").to_numpy().astype(np.float32), got.column("back").to_numpy()
-    if len(y) < 40 or min(y[back].sum(), (1 - y[back]).sum(), y[~back].sum(), (1 - y[~back]).sum()) < 1:
+    if sum(n.values()) < 40 or len(n) < 4:
+        drop(table)
         return net
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.uint8).reshape(-1, WIDE).astype(np.int64)
-    net.train(x[~back], y[~back])
-    net.calibrate(x[back], y[back], recall)
+    if min(y[~back].sum(), (1 - y[~back]).sum()) >= 1:
+        net.train(np.frombuffer(b"".join(got.column("x").to_pylist()), np.uint8).reshape(-1, WIDE).astype(np.int64)[~back], y[~back])
+    taught, weight = table.where("not back").select("x", "y"), np.array([0.5 / n[False, 0], 0.5 / n[False, 1]])
+    step, best = net.adam(), (np.inf, {})
+    for i in range(passes + 1):
+        slope, loss = _whole_slope(taught, net, weight)
+        if loss < best[0]:
+            best = loss, {k: getattr(net, k).copy() for k in net.WEIGHTS}
+        if i < passes:
+            step(slope, 0.003)
+    vars(net).update(best[1])
+    seen = _outputs(table.where("back").select("x", "y"), net)
+    net.calibrate(np.array([r["z"] / FINE for r in seen]), np.array([r["y"] for r in seen]), np.array([r["n"] for r in seen]), recall)
+    net.learnt, net.judged = n[False, 0] + n[False, 1], n[True, 0] + n[True, 1]
+    drop(table)
     return net
 
 
