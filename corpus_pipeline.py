@@ -21,7 +21,7 @@ from cinderspark.sources.tables import drop, scratch, written
 
 KEY = "row_key"
 #: Characters of a block in the last stage, whose workers come after all others' in an executor's memory.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
