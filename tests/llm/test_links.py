@@ -179,3 +179,52 @@ def test_small_blocks_give_the_same_token_ids(spark):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     few, many = ({r["doc_id"]: r["ids"] for r in bpe.bpe_encode(docs, ranks, most_chars=n).collect()} for n in (24_000_000, 50))
     assert few == many and len(few) == 60
+
+
+def test_linked_sets_meet_in_a_signature_that_neither_leaves_out():
+    """Whatever the frequencies are, as long as both documents order equal signatures in the same way."""
+    rng = np.random.default_rng(4)
+    band = np.uint64((1 << jaccard_join.BAND_BITS) - 1)
+    spared = 0
+    for others in ((0.0,) * 4, (8.0, 1.0, 0.6, 0.4), (500.0, 100.0, 20.0, 4.0)):
+        for _ in range(150):
+            n = int(rng.integers(1, 1500))
+            x = np.unique(rng.integers(0, (1 << 64) - 1, n, dtype=np.uint64))
+            gone = int(rng.integers(0, int(0.15 * len(x)) + 1))
+            y = np.sort(np.r_[rng.choice(x, len(x) - gone, replace=False), rng.integers(0, (1 << 64) - 1, int(rng.integers(0, gone // 4 + 1)), dtype=np.uint64)])
+            both = len(np.intersect1d(x, y))
+            if 100 * both < 85 * (len(x) + len(y) - both) or np.array_equal(x, y):
+                continue
+            salt, held = rng.integers(1, 1 << 60, dtype=np.uint64), []
+            for z in (x, y):
+                own, less, spare = jaccard_join.spared_signatures(z, 85, 100, others)
+                often = common.mix(own ^ salt) % np.uint64(7)  # how often a signature is held: any function of it
+                kept = set()
+                for b in np.unique(own & band):
+                    of = np.flatnonzero(((own & band) == b) & (spare > 0))
+                    order = of[np.lexsort((own[of], -often[of].astype(int)))]
+                    kept |= {int(own[i]) for k, i in enumerate(order, 1) if k > spare[i]}
+                    kept |= {int(s) for s in own[((own & band) == b) & (spare == 0)]}
+                    spared += len(order) > 0
+                held.append((kept, {int(s) for s in less}))
+            (own, less), (own2, less2) = held
+            assert own & own2 or own & less2 or less & own2
+    assert spared > 300
+
+
+def test_long_texts_that_share_frequent_phrases_by_chance_are_not_paired(spark, monkeypatch):
+    """Each two of 240 texts share some 50 of 200 phrases among 1,400 shingles, far from a link; near copies among them are found."""
+    rng = random.Random(6)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(4)) for k in range(200)]
+    made = []
+    for d in range(240):
+        parts = [" ".join(f"d{d}w{i}v{j}" for j in range(20)) for i in range(50)]
+        for phrase in rng.sample(phrases, 100):
+            parts.insert(rng.randrange(len(parts)), phrase)
+        made.append(" ".join(parts))
+    made += [" ".join(w if i % 400 else "other" for i, w in enumerate(t.split())) for t in made[:10]]
+    asked, plain = [], jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda pairs, *rest: asked.append(pairs.count()) or plain(pairs, *rest))
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert [rows[i] for i in range(250)] == [*range(240), *range(10)]
+    assert sum(asked) < 60, asked
