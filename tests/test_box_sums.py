@@ -54,9 +54,24 @@ def test_a_cells_sums_by_pairs_tables_and_wavelets(monkeypatch, thin, table, kin
 
 
 def test_sums_make_no_pairs(spark, monkeypatch):
-    """20,000 by 20,000 boxes of one place meet in 400 million pairs; equal boxes are held once."""
+    """20,000 by 20,000 boxes of one place meet in 400 million pairs."""
     ids = spark.range(20000)
     layer = ids.select(F.col("id").cast("string").alias("fire_id"), F.lit(1).alias("year"), *(F.lit(v).cast("long").alias(c) for c, v in zip(V.BOX, (3, 4, 13, 9), strict=True)))
-    found = V.scar_sums(layer, layer, crowd=1000)
+    found = V.scar_sums(layer, layer)
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in found.groupBy("n_polygons", "shared").count().collect()] == [(20000, 20000 * 50, 20000)]
+
+
+def test_pairs_of_a_polygon_follow_each_other(spark, tmp_path):
+    """2 million pairs of 200,000 polygons, too many for a dictionary of ids: in runs they take no eight bytes each."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        box = [F.lit(v).cast("long").alias(c) for c, v in zip(V.BOX, (0, 0, 5, 5), strict=True)]
+        scars = spark.range(10).select("id", F.concat(F.lit("F"), "id").alias("fire_id"), F.lit(1).alias("year"), F.lit(6000.0).alias("area_ha"), *box)
+        polys = spark.range(200000).select(F.xxhash64("id").alias("id"), F.lit("r1").alias("region"), F.lit(1).alias("year"), F.lit("f").alias("file"), *box)
+        V.scar_intersections(scars, polys, cell=10.0).select("scar_id", "poly_id").write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.count() == found.distinct().count() == 2_000_000
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 2 * 2_000_000
